@@ -41,4 +41,4 @@ def exact_avg(x: Column) -> Column:
 
 def two_decimals(x: Column) -> Column:
     """Round to two decimals on the exact binary value, halves to even (2.675 -> 2.67)."""
-    return F.when(F.abs(x) < 1e13, F.format_number(x, "0.00").cast("double")).otherwise(x)
+    return F.when(F.abs(x) < 1e13, F.call_function("format_number", x, F.lit("0.00")).cast("double")).otherwise(x)

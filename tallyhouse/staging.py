@@ -32,9 +32,9 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written table."""
     spark = df.sparkSession
     path = stage_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
