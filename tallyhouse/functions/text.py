@@ -28,12 +28,12 @@ _LINE = rf"(?U)^(\d+){_BLANK}*x{_BLANK}*([^\n]*)\z"
 
 def line_quantity(line: Column) -> Column:
     """Count in front of a stripped line; NULL when the line has none."""
-    return F.when(line.rlike(_LINE), F.regexp_extract(line, _LINE, 1).try_cast("int"))
+    return F.regexp_extract(line, _LINE, 1).try_cast("int")
 
 
 def line_name(line: Column) -> Column:
     """Name behind the count, or the whole stripped line when there is no count."""
-    return F.when(line.rlike(_LINE), strip(F.regexp_extract(line, _LINE, 2))).otherwise(line)
+    return strip(F.regexp_replace(line, _LINE, "$2"))
 
 
 def _undecorated(name: Column) -> Column:

@@ -5,7 +5,7 @@ The ledger is the truth. The cached balance is only compared with it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import to_int, to_timestamp
@@ -73,55 +73,51 @@ def balances_from_ledger(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("customer_id", "customer_phone").agg(F.sum("delta").alias("balance_from_ledger"))
 
 
-def balance_check(balances: DataFrame, derived: DataFrame) -> DataFrame:
-    """Customers whose cached balance disagrees with the ledger; should be empty.
+# The two audit relations are views, so they are SQL with the inputs left open:
+# DataFrames below, table names in a catalog view.
+
+# The rebuilt balance is per phone but matched on the customer alone: a customer
+# with two phones is compared twice. The outer join is written as inner plus
+# anti join, because AQE can split a skewed key on either side of an inner join
+# but only on the left side of an outer one.
+BALANCE_CHECK_SQL = """
+SELECT b.customer_id, b.phone, b.name, b.balance_cached, d.balance_from_ledger,
+  b.balance_cached - d.balance_from_ledger AS difference
+FROM {balances} b JOIN {derived} d ON b.customer_id = d.customer_id
+WHERE coalesce(b.balance_cached, 0) <> coalesce(d.balance_from_ledger, 0)
+UNION ALL
+SELECT b.customer_id, b.phone, b.name, b.balance_cached, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+FROM {balances} b LEFT ANTI JOIN (SELECT DISTINCT customer_id FROM {derived}) d ON b.customer_id = d.customer_id
+WHERE b.balance_cached <> 0
+"""
 
-    The rebuilt balance is per phone but matched on the customer alone: a
-    customer with two phones is compared twice. The outer join is written as
-    inner plus anti join, because AQE can split a skewed key on either side of
-    an inner join but only on the left side of an outer one.
-    """
+# The ledger is summed per customer before the join. Cards that agree in all
+# shown columns are one card, even of two customer ids.
+CUSTOMERS_SQL = """
+SELECT b.phone, b.name, b.balance_cached AS balance, b.expires_at, b.referral_code,
+  coalesce(sum(l.earned), 0) AS earned_all_time,
+  coalesce(-sum(l.spent), 0) AS spent_all_time,
+  coalesce(sum(l.referred), 0) AS referral_entries
+FROM {balances} b
+LEFT JOIN (
+  SELECT customer_id,
+    sum(delta) FILTER (WHERE delta > 0) AS earned,
+    sum(delta) FILTER (WHERE kind = 'spend') AS spent,
+    count(*) FILTER (WHERE kind = 'referral') AS referred
+  FROM {ledger} GROUP BY customer_id
+) l ON b.customer_id = l.customer_id
+GROUP BY b.phone, b.name, b.balance_cached, b.expires_at, b.referral_code
+"""
 
-    def off(cached: Column, rebuilt: Column) -> Column:
-        return F.coalesce(cached, F.lit(0)) != F.coalesce(rebuilt, F.lit(0))
 
-    matched = balances.join(derived, "customer_id").filter(
-        off(F.col("balance_cached"), F.col("balance_from_ledger"))
-    )
-    unmatched = (
-        balances.join(derived.select("customer_id").distinct(), "customer_id", "left_anti")
-        .filter(off(F.col("balance_cached"), F.lit(None).cast("bigint")))
-        .withColumn("balance_from_ledger", F.lit(None).cast("bigint"))
-    )
-    columns = ["customer_id", "phone", "name", "balance_cached", "balance_from_ledger"]
-    return (
-        matched.select(*columns)
-        .unionByName(unmatched.select(*columns))
-        .withColumn("difference", F.col("balance_cached") - F.col("balance_from_ledger"))
-    )
+def balance_check(balances: DataFrame, derived: DataFrame) -> DataFrame:
+    """Customers whose cached balance disagrees with the ledger; should be empty."""
+    return balances.sparkSession.sql(BALANCE_CHECK_SQL, balances=balances, derived=derived)
 
 
 def customers(balances: DataFrame, ledger: DataFrame) -> DataFrame:
-    """One card per customer: balance, earned, spent, referrals.
-
-    The ledger is summed per customer before the join. Cards that agree in all
-    shown columns are one card, even of two customer ids.
-    """
-    per_customer = ledger.groupBy("customer_id").agg(
-        F.sum(F.when(F.col("delta") > 0, F.col("delta"))).alias("earned"),
-        F.sum(F.when(F.col("kind") == "spend", F.col("delta"))).alias("spent"),
-        F.count_if(F.col("kind") == "referral").alias("referred"),
-    )
-    card = [F.col("phone"), F.col("name"), F.col("balance_cached").alias("balance"), F.col("expires_at"), F.col("referral_code")]
-    return (
-        balances.join(per_customer, "customer_id", "left")
-        .groupBy(*card)
-        .agg(
-            F.coalesce(F.sum("earned"), F.lit(0)).alias("earned_all_time"),
-            F.coalesce(-F.sum("spent"), F.lit(0)).alias("spent_all_time"),
-            F.coalesce(F.sum("referred"), F.lit(0)).alias("referral_entries"),
-        )
-    )
+    """One card per customer: balance, earned, spent, referrals."""
+    return balances.sparkSession.sql(CUSTOMERS_SQL, balances=balances, ledger=ledger)
 
 
 def find_customers(customers: DataFrame, phone_suffix: str) -> DataFrame:

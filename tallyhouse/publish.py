@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# The layers, and the reference relations that are views.
+# The layers.
 LAYERS = ["bronze", "silver", "gold", "d1"]
 
 
@@ -30,7 +30,7 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
-    def publish(self, name: str, df: DataFrame, note: str = "", partition_by: list[str] | None = None) -> DataFrame:
+    def publish(self, name: str, df: DataFrame, note: str = "") -> DataFrame:
         """Replace a table in full.
 
         The rows go to a new folder first and the name moves to it only when
@@ -41,13 +41,9 @@ class Warehouse:
         layer, table = name.split(".")
         path = f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
         written = Observation()
-        df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path, partitionBy=partition_by)
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING PARQUET {parts} LOCATION '{path}'")
-        if partition_by:
-            self.spark.catalog.recoverPartitions(name)
+        self.spark.catalog.createTable(name, path, "parquet", df.schema)
         self.note(name, written.get["rows"], note)
         return self.table(name)
 

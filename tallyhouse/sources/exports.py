@@ -18,7 +18,7 @@ from ..schemas import EXPORT_FILE_DATE, EXPORT_FILE_PATTERN
 _ROW_BITS = 33
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """``file_path, modified_at, length`` per file, without opening any.
 
     Unlike ``_metadata`` on a CSV read this also shows files that hold only a
@@ -86,19 +86,22 @@ def read_headers(files: DataFrame) -> DataFrame:
     """``file_path, header`` per file; the tasks read the first record only."""
     return (
         files.select("file_path")
-        .repartition(F.col("file_path"))
+        # An explicit number, or AQE would merge these tiny rows into one task.
+        .repartition(files.sparkSession.sparkContext.defaultParallelism)
         .mapInPandas(_read_headers, "file_path string, header array<string>")
     )
 
 
-def read_exports(spark: SparkSession, folder: str, paths: list[str] | None = None) -> DataFrame:
+def read_exports(
+    spark: SparkSession, folder: str, paths: list[str] | None = None, first_rank: int = 0
+) -> DataFrame:
     """All export files as text columns, united by column name.
 
     Spark maps the columns of several CSV files by position, so files are read
     in groups of equal headers, one scan per distinct header, and the groups
     united by name. Adds ``_source_file``, ``_loaded_at`` and ``_row_seq``, a
     number that follows file name and then row order. ``paths`` limits the read
-    to some of the files in ``folder``.
+    to some of the files in ``folder``, which are ranked from ``first_rank`` on.
     """
     files = list_files(spark, folder)
     if paths is not None:
@@ -113,7 +116,7 @@ def read_exports(spark: SparkSession, folder: str, paths: list[str] | None = Non
     if not by_header:
         raise FileNotFoundError(f"no export with a header in {folder}")
     ranks = spark.createDataFrame(
-        [(path, rank) for rank, (path, _) in enumerate(found)], "_source_file string, _file_rank bigint"
+        [(path, rank) for rank, (path, _) in enumerate(found, first_rank)], "_source_file string, _file_rank bigint"
     )
     united = None
     for header, members in by_header.items():

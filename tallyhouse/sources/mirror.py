@@ -33,17 +33,25 @@ class Mirror:
     failed: dict[str, str]
 
 
-def _cell(name: str) -> Column:
-    """Value of column ``name`` in a row; NULL when the row is too short.
+def _cells(layouts: list[list[str]]) -> dict[str, Column]:
+    """One expression per column name for the value in a row of a table.
 
     Names and values are zipped: names beyond the row's end have no value, and
-    of repeated names the last counts. ``synced_at`` is always the snapshot's.
+    of repeated names the last counts. Pages of one table may list its columns
+    differently; then each row looks its names up. ``synced_at`` is always the
+    snapshot's.
     """
-    if name == SYNCED_AT:
-        return F.col("generated_at").cast("variant")
-    names = F.slice(F.col("columns"), F.lit(1), F.least(F.size("columns"), F.size("row")))
-    at = F.array_position(F.reverse(names), name)
-    return F.when(at > 0, F.get("row", (F.size(names) - at).cast("int")))
+    cells = {}
+    for name in dict.fromkeys(name for layout in layouts for name in layout):
+        if len(layouts) == 1:
+            spots = [i for i, n in enumerate(layouts[0]) if n == name]
+            cells[name] = F.coalesce(*[F.get("row", F.lit(i)) for i in reversed(spots)])
+        else:
+            names = F.slice(F.col("columns"), F.lit(1), F.least(F.size("columns"), F.size("row")))
+            at = F.array_position(F.reverse(names), name)
+            cells[name] = F.when(at > 0, F.get("row", (F.size(names) - at).cast("int")))
+    cells[SYNCED_AT] = F.col("generated_at").cast("variant")
+    return cells
 
 
 def _spark_type(inferred: str) -> str:
@@ -56,7 +64,7 @@ def _spark_type(inferred: str) -> str:
 
 
 def _typed(name: str, kind: str) -> Column:
-    cell = _cell(name)
+    cell = F.col(f"`{name}`")
     if kind == "json":
         value = F.when(F.schema_of_variant(cell) != "VOID", F.to_json(cell))
     elif kind in ("date", "timestamp_ntz"):
@@ -66,26 +74,25 @@ def _typed(name: str, kind: str) -> Column:
     return value.alias(name)
 
 
-def _infer(rows: DataFrame, names: list[str]) -> dict[str, str]:
+def _infer(cells: DataFrame) -> dict[str, str]:
     """Column types in one pass; columns that no row reaches are left out."""
     aggs = []
-    names = names + [n for n in [SYNCED_AT] if n not in names]
-    for i, name in enumerate(names):
-        cell = _cell(name)
-        text = F.when(F.schema_of_variant(cell) == "STRING", F.try_variant_get(cell, "$", "string"))
-        iso = F.regexp_replace(text, "Z$", "")
+    for i, name in enumerate(cells.columns):
+        cell = F.col(f"`{name}`")
+        text = F.try_variant_get(cell, "$", "string")
         dated = text.rlike(_DATE) & text.try_cast("date").isNotNull()
-        timed = (text.rlike(_DATE) | text.rlike(_TIMESTAMP)) & iso.try_cast("timestamp_ntz").isNotNull()
+        iso = F.regexp_replace(text, "Z$", "").try_cast("timestamp_ntz")
+        timed = (text.rlike(_DATE) | text.rlike(_TIMESTAMP)) & iso.isNotNull()
         aggs += [
             F.count(cell).alias(f"n{i}"),
             F.schema_of_variant_agg(cell).alias(f"t{i}"),
             F.bool_and(dated).alias(f"d{i}"),
             F.bool_and(timed).alias(f"s{i}"),
         ]
-    found = rows.agg(*aggs).first()
+    found = cells.agg(*aggs).first()
     kinds: dict[str, str] = {}
-    for i, name in enumerate(names):
-        if found[f"n{i}"] == 0 and name != SYNCED_AT:
+    for i, name in enumerate(cells.columns):
+        if found[f"n{i}"] == 0:
             continue
         kind = _spark_type(found[f"t{i}"] or "VOID")
         if kind == "string":
@@ -123,26 +130,25 @@ def mirror_tables(envelopes: DataFrame) -> Mirror:
     layouts = (
         flat.groupBy("name", "columns").agg(F.count("row").alias("rows")).orderBy("name", "columns").collect()
     )
-    columns_of: dict[str, list[str]] = {}
+    columns_of: dict[str, list[list[str]]] = {}
     rows_of: dict[str, int] = {}
     for layout in layouts:
-        names = columns_of.setdefault(layout.name, [])
-        names += [c for c in dict.fromkeys(layout.columns or []) if c not in names]
+        columns_of.setdefault(layout.name, []).append(layout.columns or [])
         rows_of[layout.name] = rows_of.get(layout.name, 0) + layout.rows
 
     spark = envelopes.sparkSession
     tables, empty = {}, []
-    for name, names in columns_of.items():
-        if not names:
+    for name, given in columns_of.items():
+        if not any(given):
             empty.append(name)
-            continue
-        if not rows_of[name]:
+        elif not rows_of[name]:
             # Columns but no rows: the inferred schema of an empty list.
             tables[name] = spark.createDataFrame([], "json string")
-            continue
-        rows = flat.filter((F.col("name") == name) & F.col("row").isNotNull())
-        kinds = _infer(rows, names)
-        tables[name] = rows.select(*[_typed(c, kinds[c]) for c in kinds])
+        else:
+            rows = flat.filter((F.col("name") == name) & F.col("row").isNotNull())
+            cells = rows.select(*[cell.alias(c) for c, cell in _cells([g for g in given if g]).items()])
+            kinds = _infer(cells)
+            tables[name] = cells.select(*[_typed(c, kind) for c, kind in kinds.items()])
     return Mirror(tables, empty, failed)
 
 

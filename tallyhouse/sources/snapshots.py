@@ -30,8 +30,9 @@ def require_ok(envelopes: DataFrame) -> DataFrame:
     return envelopes.filter(check(accepted, "snapshot refused: it does not say ok"))
 
 
-def read_envelopes(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    envelopes = spark.read.schema(schema).json(path, multiLine=True)
+def read_envelopes(spark: SparkSession, path: str, schema: str, one_per_line: bool = False) -> DataFrame:
+    """Documents of a snapshot: one per file, or one per line."""
+    envelopes = spark.read.schema(schema).json(path, multiLine=not one_per_line)
     if envelopes.select("ok").isEmpty():
         raise ValueError(f"snapshot refused: nothing in {path}")
     return require_ok(envelopes)
