@@ -599,7 +599,8 @@ def price_sheet_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def mirror_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = view(spark, sf_dir, "fx_envelopes").select(F.from_json("doc", mirror.TABLES_ENVELOPE).alias("d"))
-    return mirror.mirror_tables(documents.select("d.*")).tables["orders"]
+    orders_copy = mirror.mirror_tables(documents.select("d.*")).tables["orders"]
+    return orders_copy.withColumn("synced_at", F.col("synced_at").cast("timestamp_ntz"))
 
 
 @_query("snapshot_gate", ["fx_ledger"], "SELECT count(*) AS entries FROM fx_ledger")

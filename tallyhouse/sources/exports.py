@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,7 +20,9 @@ _ROW_BITS = 33
 
 
 def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
-    """``file_path, modified_at, length`` per file, without opening any.
+    """``path, file_path, modified_at, length`` per file, without opening any.
+
+    ``path`` is for reading; ``file_path`` is its URI form, as in ``_metadata``.
 
     Unlike ``_metadata`` on a CSV read this also shows files that hold only a
     header, which still cover their week.
@@ -29,6 +32,7 @@ def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*.c
         .option("pathGlobFilter", pattern)
         .load(folder)
         .select(
+            "path",
             F.col("_metadata.file_path").alias("file_path"),
             F.col("modificationTime").alias("modified_at"),
             "length",
@@ -79,16 +83,16 @@ def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with filesystem.open_input_stream(path) as raw:
                 text = io.TextIOWrapper(io.BufferedReader(raw), encoding="utf-8-sig", newline="")
                 headers.append(unique_names(next(csv.reader(text), [])))
-        yield pd.DataFrame({"file_path": batch["file_path"], "header": headers})
+        yield batch.assign(header=headers)
 
 
 def read_headers(files: DataFrame) -> DataFrame:
-    """``file_path, header`` per file; the tasks read the first record only."""
+    """``path, file_path, header`` per file; the tasks read the first record only."""
     return (
-        files.select("file_path")
+        files.select("path", "file_path")
         # An explicit number, or AQE would merge these tiny rows into one task.
         .repartition(files.sparkSession.sparkContext.defaultParallelism)
-        .mapInPandas(_read_headers, "file_path string, header array<string>")
+        .mapInPandas(_read_headers, "path string, file_path string, header array<string>")
     )
 
 
@@ -109,14 +113,14 @@ def read_exports(
         files = files.join(wanted, "file_path", "left_semi")
     # File names and headers only: the driver lists the files of a scan anyway.
     by_header: dict[tuple[str, ...], list[str]] = {}
-    found = sorted((r.file_path, tuple(r.header)) for r in read_headers(files).collect())
-    for path, header in found:
+    found = sorted((r.file_path, r.path, tuple(r.header)) for r in read_headers(files).collect())
+    for _, path, header in found:
         if header:
-            by_header.setdefault(header, []).append(path)
+            by_header.setdefault(header, []).append(re.sub(r"([\[\]{}*?\\])", r"\\\1", path))
     if not by_header:
         raise FileNotFoundError(f"no export with a header in {folder}")
     ranks = spark.createDataFrame(
-        [(path, rank) for rank, (path, _) in enumerate(found, first_rank)], "_source_file string, _file_rank bigint"
+        [(uri, rank) for rank, (uri, _, _) in enumerate(found, first_rank)], "_source_file string, _file_rank bigint"
     )
     united = None
     for header, members in by_header.items():

@@ -20,8 +20,15 @@ TABLES_ENVELOPE = (
 # Fixed value: the column that says when a snapshot was taken.
 SYNCED_AT = "synced_at"
 
-_DATE = r"^\d{4}-\d{2}-\d{2}$"
-_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d+)?Z?$"
+# Text columns whose values all have one of these forms become dates or times.
+_DAY, _CLOCK = r"^\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}:\d{2}:\d{2}"
+_FORMS = {
+    "date": (rf"{_DAY}$", "date"),
+    "blank": (rf"{_DAY} {_CLOCK}$", "timestamp_ntz"),
+    "blank, fraction": (rf"{_DAY} {_CLOCK}\.\d+$", "timestamp_ntz"),
+    "T": (rf"{_DAY}T{_CLOCK}$", "timestamp_ntz"),
+    "zone": (rf"{_DAY}[ T]{_CLOCK}(\.\d+)?(Z|[+-]\d{{2}}(:\d{{2}})?)$", "timestamp"),
+}
 
 
 @dataclass
@@ -67,27 +74,32 @@ def _typed(name: str, kind: str) -> Column:
     cell = F.col(f"`{name}`")
     if kind == "json":
         value = F.when(F.schema_of_variant(cell) != "VOID", F.to_json(cell))
-    elif kind in ("date", "timestamp_ntz"):
-        value = F.regexp_replace(F.try_variant_get(cell, "$", "string"), "Z$", "").cast(kind)
+    elif kind in ("date", "timestamp_ntz", "timestamp"):
+        value = F.try_variant_get(cell, "$", "string").cast(kind)
     else:
         value = F.try_variant_get(cell, "$", kind)
     return value.alias(name)
 
 
+def _form(cell: Column) -> Column:
+    """Which of the date and time forms a text has; empty for none, NULL for no text."""
+    text = F.try_variant_get(cell, "$", "string")
+    form = F.when(text.isNull(), None)
+    for name, (pattern, kind) in _FORMS.items():
+        form = form.when(text.rlike(pattern) & text.try_cast(kind).isNotNull(), name)
+    return form.otherwise("")
+
+
 def _infer(cells: DataFrame) -> dict[str, str]:
     """Column types in one pass; columns that no row reaches are left out."""
     aggs = []
     for i, name in enumerate(cells.columns):
         cell = F.col(f"`{name}`")
-        text = F.try_variant_get(cell, "$", "string")
-        dated = text.rlike(_DATE) & text.try_cast("date").isNotNull()
-        iso = F.regexp_replace(text, "Z$", "").try_cast("timestamp_ntz")
-        timed = (text.rlike(_DATE) | text.rlike(_TIMESTAMP)) & iso.isNotNull()
         aggs += [
             F.count(cell).alias(f"n{i}"),
             F.schema_of_variant_agg(cell).alias(f"t{i}"),
-            F.bool_and(dated).alias(f"d{i}"),
-            F.bool_and(timed).alias(f"s{i}"),
+            F.min(_form(cell)).alias(f"low{i}"),
+            F.max(_form(cell)).alias(f"high{i}"),
         ]
     found = cells.agg(*aggs).first()
     kinds: dict[str, str] = {}
@@ -95,8 +107,8 @@ def _infer(cells: DataFrame) -> dict[str, str]:
         if found[f"n{i}"] == 0:
             continue
         kind = _spark_type(found[f"t{i}"] or "VOID")
-        if kind == "string":
-            kind = "date" if found[f"d{i}"] else "timestamp_ntz" if found[f"s{i}"] else kind
+        if kind == "string" and found[f"low{i}"] == found[f"high{i}"]:
+            _, kind = _FORMS.get(found[f"low{i}"], (None, kind))
         kinds[name] = kind
     return kinds
 
