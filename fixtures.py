@@ -123,11 +123,10 @@ SELECT o.restaurant_id AS `Restaurant ID`, o.restaurant_name AS `Restaurant name
   coalesce(o.customer_complaint_tag, '') AS `Customer complaint tag`,
   CAST(o.customer_id AS STRING) AS `Customer ID`,
   CASE WHEN o.customer_id % 2 = 0 THEN '' ELSE concat('ph', o.customer_id) END AS `Customer Phone`,
-  t.items AS `Items in order`, c.file AS `_source_file`,
-  c.number * 10000000000 + o.order_id AS `_row_seq`, TIMESTAMP '2026-01-15 00:00:00' AS `_loaded_at`
-FROM fx_orders o LEFT JOIN fx_items_text t ON t.order_id = o.order_id
-JOIN (VALUES ('{FIRST_FILE}', 1), ('{SECOND_FILE}', 2)) c(file, number)
-  ON c.number = 1 OR o.order_status = 'Rejected'""",
+  t.items AS `Items in order`, if(o.number = 1, '{FIRST_FILE}', '{SECOND_FILE}') AS `_source_file`,
+  o.number * 10000000000 + o.order_id AS `_row_seq`, TIMESTAMP '2026-01-15 00:00:00' AS `_loaded_at`
+FROM (SELECT *, explode(if(order_status = 'Rejected', array(1, 2), array(1))) AS number FROM fx_orders) o
+LEFT JOIN fx_items_text t ON t.order_id = o.order_id""",
     "fx_ledger_json": """
 SELECT to_json(named_struct('id', entry_id, 'customer_id', customer_id, 'customer_phone', customer_phone,
   'delta', delta, 'kind', kind, 'order_id', CASE WHEN entry_id % 2 = 0 THEN CAST(entry_id AS STRING) ELSE 'x' END,
