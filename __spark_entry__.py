@@ -453,7 +453,7 @@ _GAP_DATES = f"SELECT CAST(gap_start AS DATE) AS gap_start, CAST(gap_end AS DATE
 
 @_query("week_gaps", ["fx_ranges"], _GAP_DATES)
 def week_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return range_gaps(view(spark, sf_dir, "fx_ranges"))
+    return range_gaps(exports.file_ranges(view(spark, sf_dir, "fx_files")))
 
 
 @_query(
@@ -465,7 +465,7 @@ def week_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE next_start > reach + 1""",
 )
 def week_gaps_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return range_gaps(view(spark, sf_dir, "fx_ranges"), covering=True)
+    return range_gaps(exports.file_ranges(view(spark, sf_dir, "fx_files")), covering=True)
 
 
 _REEXPORTED = "SELECT count(*) FROM fx_orders WHERE order_status = 'Rejected'"
@@ -505,7 +505,7 @@ def _data_quality_oracle() -> str:
 @_query("data_quality", [*_PRICE_VIEWS, "fx_orders", "fx_ranges"], _data_quality_oracle())
 def data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.data_quality(
-        view(spark, sf_dir, "fx_ranges"),
+        exports.file_ranges(view(spark, sf_dir, "fx_files")),
         view(spark, sf_dir, "fx_bronze"),
         view(spark, sf_dir, "fx_orders"),
         view(spark, sf_dir, "fx_items"),
@@ -616,16 +616,13 @@ def snapshot_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("incremental_ingest", [], _EXPORTED)
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All exports arrive, then arrive again under new names: the newest row per key stays."""
+    """All exports arrive, then some rows again in a further file: the newest per key stays."""
     bronze, progress = stage_path(spark, "bronze"), stage_path(spark, "progress")
     folder = _write_exports(spark, sf_dir, "arrivals")
     incremental.ingest_new_files(spark, folder, bronze, progress)
-    again = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    first = exports.read_exports(spark, folder).drop("_source_file", "_row_seq", "_loaded_at")
-    again.unpersist()
-    first.filter("c_acctbal is not null and c_nationkey is null").drop("c_nationkey").write.mode("append").csv(
-        folder, header=True, quote='"', escape='"'
-    )
+    first = incremental.current_rows(spark, bronze, ["c_custkey"]).filter("c_nationkey is null")
+    again = first.select("c_acctbal", "c_name", "c_custkey")
+    again.write.mode("append").csv(folder, header=True, quote='"', escape='"')
     incremental.ingest_new_files(spark, folder, bronze, progress)
     rows = incremental.current_rows(spark, bronze, ["c_custkey"])
     return rows.select("c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_nationkey")

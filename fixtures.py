@@ -127,6 +127,10 @@ SELECT o.restaurant_id AS `Restaurant ID`, o.restaurant_name AS `Restaurant name
   o.number * 10000000000 + o.order_id AS `_row_seq`, TIMESTAMP '2026-01-15 00:00:00' AS `_loaded_at`
 FROM (SELECT *, explode(if(order_status = 'Rejected', array(1, 2), array(1))) AS number FROM fx_orders) o
 LEFT JOIN fx_items_text t ON t.order_id = o.order_id""",
+    "fx_files": """
+SELECT concat('file:/exports/order_history_', date_format(start_date, 'yyyyMMdd'), '_',
+  date_format(end_date, 'yyyyMMdd'), '.csv') AS file_path
+FROM fx_ranges""",
     "fx_ledger_json": """
 SELECT to_json(named_struct('id', entry_id, 'customer_id', customer_id, 'customer_phone', customer_phone,
   'delta', delta, 'kind', kind, 'order_id', CASE WHEN entry_id % 2 = 0 THEN CAST(entry_id AS STRING) ELSE 'x' END,

@@ -8,24 +8,35 @@ from pyspark.sql import functions as F
 from ..schemas import ORDER_TIME_FORMAT
 
 
+# Checked before the cast: what it rejects is common in exports (blanks, words),
+# and a failing cast costs an exception per cell.
+_NUMBER = (
+    r"(?i)^\s*(?:nan|[+-]?(?:inf|infinity"
+    r"|(?:\d+(?:_\d+)*(?:\.(?:\d+(?:_\d+)*)?)?|\.\d+(?:_\d+)*)(?:e[+-]?\d+(?:_\d+)*)?))\s*$"
+)
+
+
 def to_double(text: Column) -> Column:
     """Text to DOUBLE, NULL when it is not a number.
 
-    Java would read ``1.5d``, ``12f`` and hexadecimal floats; those are not
-    numbers here. ``1_000`` is.
+    Java would also read ``1.5d``, ``12f`` and hexadecimal floats; those are
+    not numbers here. ``1_000`` is.
     """
-    digits = F.when(
-        F.contains(text, F.lit("_")), F.regexp_replace(text, r"(?<=[0-9])_(?=[0-9])", "")
-    ).otherwise(text)
-    return F.when(~text.rlike(r"(?i)[0-9.][df]\s*$|0x"), digits.try_cast("double"))
+    digits = F.when(F.contains(text, F.lit("_")), F.replace(text, F.lit("_"))).otherwise(text)
+    return F.when(text.rlike(_NUMBER), digits.try_cast("double"))
 
 
 def to_int(text: Column) -> Column:
-    """Text to INTEGER, halves rounded away from zero, NULL when out of range."""
-    hexadecimal = F.conv(F.regexp_extract(text, r"^\s*0[xX]([0-9a-fA-F]{1,8})\s*$", 1), 16, 10)
-    return F.when(
-        text.rlike(r"^\s*0[xX][0-9a-fA-F]{1,8}\s*$"), hexadecimal.try_cast("int")
-    ).otherwise(F.round(to_double(text)).try_cast("int"))
+    """Text to INTEGER, halves rounded away from zero, NULL when out of range.
+
+    ``0x10`` and ``0b11`` are whole numbers too.
+    """
+    hexadecimal, binary = r"^\s*0[xX]([0-9a-fA-F]{1,8})\s*$", r"^\s*0[bB]([01]{1,32})\s*$"
+    return (
+        F.when(text.rlike(hexadecimal), F.conv(F.regexp_extract(text, hexadecimal, 1), 16, 10).try_cast("int"))
+        .when(text.rlike(binary), F.conv(F.regexp_extract(text, binary, 1), 2, 10).try_cast("int"))
+        .otherwise(F.round(to_double(text)).try_cast("int"))
+    )
 
 
 def to_timestamp(text: Column) -> Column:

@@ -30,6 +30,7 @@ def sequence_within(
     keys: list[str],
     order: list[Column],
     name: str,
+    counted: DataFrame | None = None,
     hot_rows: int = 5_000_000,
     slice_rows: int = 1_000_000,
 ) -> DataFrame:
@@ -38,11 +39,16 @@ def sequence_within(
     Keys with at most ``hot_rows`` rows use a window. A larger key (masked or
     missing customers share one) would be sorted by a single task, so its rows
     are range-partitioned by ``order`` into slices, numbered per slice and
-    shifted by the size of the slices before. ``order`` must be total. ``df``
-    is read up to three times: pass a stored table.
+    shifted by the size of the slices before. ``order`` must be total.
+
+    The size of keys is taken from ``counted``, by default ``df`` itself. It
+    only chooses the way, so an upper bound that is cheap to scan will do.
     """
     hot = stage(
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows),
+        (df if counted is None else counted)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > hot_rows),
         "hot-keys",
     )
     hot_total = hot.agg(F.sum("_rows")).first()[0]
@@ -50,6 +56,7 @@ def sequence_within(
     if not hot_total:
         return df.withColumn(name, position.cast("bigint"))
 
+    df = stage(df, "sequence-input")
     cold = df.join(hot, _same_key(df, hot, keys), "left_anti").withColumn(name, position.cast("bigint"))
     # Written out, because another run of a range shuffle may cut elsewhere.
     sliced = stage(

@@ -9,7 +9,6 @@ from ..functions import casts
 from ..functions.text import line_name, line_quantity, split_items, strip
 from ..operators.ranking import keep_latest, sequence_within
 from ..schemas import DIRECT, EXPORT_COLUMNS, ITEMS_COLUMN
-from ..staging import stage
 
 _RULES = {
     "text": lambda c: c,
@@ -37,17 +36,21 @@ def typed_orders(exports: DataFrame) -> DataFrame:
     )
 
 
-def with_customer_sequence(orders: DataFrame, **limits: int) -> DataFrame:
+def with_customer_sequence(orders: DataFrame, counted: DataFrame | None = None, **limits: int) -> DataFrame:
     """Add ``customer_order_seq`` and ``is_first_order``. Orders without a
-    customer form one sequence. ``orders`` should be a stored table."""
+    customer form one sequence."""
     order = [F.asc_nulls_last("order_placed_at"), F.asc_nulls_last("order_id")]
-    sequenced = sequence_within(orders, ["customer_id"], order, "customer_order_seq", **limits)
+    sequenced = sequence_within(orders, ["customer_id"], order, "customer_order_seq", counted, **limits)
     return sequenced.withColumn("is_first_order", F.col("customer_order_seq") == 1)
 
 
-def orders(exports: DataFrame) -> DataFrame:
-    """``silver.orders``: typed, de-duplicated and sequenced."""
-    return with_customer_sequence(stage(typed_orders(exports), "typed-orders"))
+def orders(exports: DataFrame, **limits: int) -> DataFrame:
+    """``silver.orders``: typed, de-duplicated and sequenced.
+
+    Large customers are found in the raw rows: one column, no de-duplication.
+    """
+    customers = exports.select(F.col("`Customer ID`").alias("customer_id"))
+    return with_customer_sequence(typed_orders(exports), customers, **limits)
 
 
 def order_items(exports: DataFrame, dedupe: bool = False) -> DataFrame:

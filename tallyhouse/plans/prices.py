@@ -189,7 +189,7 @@ def item_prices(
     bills = _bills(items, numbers, orders, seq)
     observed = stage(_observed(bills).join(from_sheet, "item_no", "left_anti"), "observed-prices")
     known = from_sheet.select("item_no", "mode_value").unionByName(observed.select("item_no", "mode_value"))
-    derived = _derived(bills, stage(known, "known-prices"))
+    derived = _derived(bills, known)
 
     sheet_tier = from_sheet.select(
         "item_no",

@@ -84,7 +84,7 @@ def _typed(name: str, kind: str) -> Column:
 def _form(cell: Column) -> Column:
     """Which of the date and time forms a text has; empty for none, NULL for no text."""
     text = F.try_variant_get(cell, "$", "string")
-    form = F.when(text.isNull(), None)
+    form = F.when(text.isNull(), None).when(~text.rlike(_DAY), "")
     for name, (pattern, kind) in _FORMS.items():
         form = form.when(text.rlike(pattern) & text.try_cast(kind).isNotNull(), name)
     return form.otherwise("")
@@ -92,16 +92,21 @@ def _form(cell: Column) -> Column:
 
 def _infer(cells: DataFrame) -> dict[str, str]:
     """Column types in one pass; columns that no row reaches are left out."""
+    named = [F.col(f"`{name}`") for name in cells.columns]
+    # Forms are columns first: an aggregation would work them out for min and max apart.
+    formed = cells.select(
+        *[cell.alias(f"v{i}") for i, cell in enumerate(named)],
+        *[_form(cell).alias(f"f{i}") for i, cell in enumerate(named)],
+    )
     aggs = []
-    for i, name in enumerate(cells.columns):
-        cell = F.col(f"`{name}`")
+    for i in range(len(named)):
         aggs += [
-            F.count(cell).alias(f"n{i}"),
-            F.schema_of_variant_agg(cell).alias(f"t{i}"),
-            F.min(_form(cell)).alias(f"low{i}"),
-            F.max(_form(cell)).alias(f"high{i}"),
+            F.count(f"v{i}").alias(f"n{i}"),
+            F.schema_of_variant_agg(f"v{i}").alias(f"t{i}"),
+            F.min(f"f{i}").alias(f"low{i}"),
+            F.max(f"f{i}").alias(f"high{i}"),
         ]
-    found = cells.agg(*aggs).first()
+    found = formed.agg(*aggs).first()
     kinds: dict[str, str] = {}
     for i, name in enumerate(cells.columns):
         if found[f"n{i}"] == 0:

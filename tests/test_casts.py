@@ -12,6 +12,8 @@ from tallyhouse.functions import casts
 NUMBERS = [
     "1,234", "1.5d", "1_000", " 12 ", "inf", "nan", "", "1e3", "12f", ".", "1.5", "2.5", "-2.5", "3000000000",
     "true", "+5", "5.", ".5", "0x10", "-0", "1__0", "abc", "1.5D", "7F", "-inf", "Infinity", "1e400", "12 3",
+    "1e", "1e+5", "1E-2", "1_0.5", "1_0.2_5", "._5", ".5_0", "1_", "_1", "+", "-", "1.e5", "+.5", "--1", "NaN", "INF",
+    "1e1_0", "\t7\n", "0b11", "1.2.3", "१२",
 ]
 TIMES = [
     "2026-08-16T10:00:00Z", "2026-08-16T10:00:00+05:30", "2026-08-16", "2026", "10:00",

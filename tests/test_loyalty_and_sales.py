@@ -96,3 +96,32 @@ def test_orders_from_text(spark):
     assert got["1"].order_placed_at == dt.datetime(2026, 8, 3, 20, 5) and got["1"].is_first_order
     assert [(got[o].customer_order_seq, got[o].is_first_order) for o in ("2", "3")] == [(1, True), (2, False)]
     assert got["2"].total is None and got["1"].customer_phone is None
+    # The same with every customer taken for a large one.
+    assert sorted(map(repr, orders.orders(raw, hot_rows=0, slice_rows=1).drop("_loaded_at").collect())) == sorted(
+        map(repr, orders.orders(raw).drop("_loaded_at").collect())
+    )
+
+
+def test_hot_order_is_split_in_the_join(spark):
+    """Two thirds of the lines belong to one order; its partition is read by several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        items = spark.range(0, 30000, 1, 12).selectExpr(
+            "if(id % 3 = 0, id, 1) order_id", "uuid() item_name", "1 quantity"
+        )
+        found = spark.range(30000).selectExpr("id order_id", "'r' restaurant_id", "'R' restaurant_name")
+        got = sales.item_performance(items, found)
+        assert sum(r.times_ordered for r in got.collect()) == 30000
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

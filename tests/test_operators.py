@@ -34,7 +34,7 @@ def test_sequence_within_hot_keys(spark, hot_rows):
         data.append((f"o{i:04}", key, at))
     df = spark.createDataFrame(data, "id string, k string, at timestamp_ntz").repartition(5)
     order = [F.asc_nulls_last("at"), F.asc("id")]
-    got = {r.id: r.seq for r in sequence_within(df, ["k"], order, "seq", hot_rows, slice_rows=40).collect()}
+    got = {r.id: r.seq for r in sequence_within(df, ["k"], order, "seq", hot_rows=hot_rows, slice_rows=40).collect()}
     want, seen = {}, Counter()
     for i, key, at in sorted(data, key=lambda r: (r[2] is None, r[2] or 0, r[0])):
         seen[key] += 1
