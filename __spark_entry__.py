@@ -546,6 +546,13 @@ def csv_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_nationkey")
 
 
+@_query("csv_union_by_name_split", [], _EXPORTED)
+def csv_union_by_name_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with every file taken for one too large for a task."""
+    rows = exports.read_exports(spark, _write_exports(spark, sf_dir, "csv-split"), large_file=0)
+    return rows.select("c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_nationkey")
+
+
 @_query(
     "menu_load",
     [],

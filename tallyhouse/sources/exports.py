@@ -13,10 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import EXPORT_FILE_DATE, EXPORT_FILE_PATTERN
+from .large_csv import read_large_csv
 
 # Row numbers within a file take the low bits of the sequence number, the rank
 # of the file in name order the high ones.
-_ROW_BITS = 33
+_ROW_BITS = 38
+# Spark's ids: number of the partition above, of the row within it below.
+_ID_BITS = 33
+
+# Files above this size are read by several tasks.
+LARGE_FILE = 1 << 30
 
 
 def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
@@ -87,17 +93,35 @@ def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_headers(files: DataFrame) -> DataFrame:
-    """``path, file_path, header`` per file; the tasks read the first record only."""
+    """``path, file_path, length, header`` per file; the tasks read the first record only."""
     return (
-        files.select("path", "file_path")
+        files.select("path", "file_path", "length")
         # An explicit number, or AQE would merge these tiny rows into one task.
         .repartition(files.sparkSession.sparkContext.defaultParallelism)
-        .mapInPandas(_read_headers, "path string, file_path string, header array<string>")
+        .mapInPandas(_read_headers, "path string, file_path string, length bigint, header array<string>")
+    )
+
+
+def _read_csv(spark: SparkSession, where: str | list[str], header: tuple[str, ...]) -> DataFrame:
+    return (
+        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in header]))
+        .option("pathGlobFilter", "*.csv")
+        .csv(where, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST")
+        .select(
+            *[F.col(f"`{name}`") for name in header],
+            F.col("_metadata.file_path").alias("_source_file"),
+            # Quoted line breaks keep a file in one piece, so ids follow its rows.
+            F.monotonically_increasing_id().bitwiseAND((1 << _ID_BITS) - 1).alias("_row"),
+        )
     )
 
 
 def read_exports(
-    spark: SparkSession, folder: str, paths: list[str] | None = None, first_rank: int = 0
+    spark: SparkSession,
+    folder: str,
+    paths: list[str] | None = None,
+    first_rank: int = 0,
+    large_file: int = LARGE_FILE,
 ) -> DataFrame:
     """All export files as text columns, united by column name.
 
@@ -106,38 +130,29 @@ def read_exports(
     united by name. Adds ``_source_file``, ``_loaded_at`` and ``_row_seq``, a
     number that follows file name and then row order. ``paths`` limits the read
     to some of the files in ``folder``, which are ranked from ``first_rank`` on.
+    Files above ``large_file`` bytes are split over tasks.
     """
     files = list_files(spark, folder)
     if paths is not None:
         wanted = spark.createDataFrame([(p,) for p in paths], "file_path string")
         files = files.join(wanted, "file_path", "left_semi")
     # File names and headers only: the driver lists the files of a scan anyway.
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    found = sorted((r.file_path, r.path, tuple(r.header)) for r in read_headers(files).collect())
-    for _, path, header in found:
-        if header:
-            by_header.setdefault(header, []).append(re.sub(r"([\[\]{}*?\\])", r"\\\1", path))
-    if not by_header:
+    found = sorted(read_headers(files).collect(), key=lambda r: r.file_path)
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for r in found:
+        if r.header:
+            literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", r.path)
+            groups.setdefault((tuple(r.header), r.length > large_file), []).append(literal)
+    if not groups:
         raise FileNotFoundError(f"no export with a header in {folder}")
     ranks = spark.createDataFrame(
-        [(uri, rank) for rank, (uri, _, _) in enumerate(found, first_rank)], "_source_file string, _file_rank bigint"
+        [(r.file_path, rank) for rank, r in enumerate(found, first_rank)], "_source_file string, _file_rank bigint"
     )
     united = None
-    for header, members in by_header.items():
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        # One header for the whole folder: let Spark list it.
-        whole_folder = paths is None and len(by_header) == 1 and len(members) == len(found)
-        rows = (
-            spark.read.schema(schema)
-            .option("pathGlobFilter", "*.csv")
-            .csv(folder if whole_folder else members, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST")
-            .select(
-                *[F.col(f"`{name}`") for name in header],
-                F.col("_metadata.file_path").alias("_source_file"),
-                # Quoted line breaks keep a file in one piece, so ids follow its rows.
-                F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"),
-            )
-        )
+    for (header, large), members in groups.items():
+        # One kind of file in the whole folder: let Spark list it.
+        where = folder if paths is None and len(members) == len(found) else members
+        rows = read_large_csv(spark, members, list(header)) if large else _read_csv(spark, where, header)
         united = rows if united is None else united.unionByName(rows, allowMissingColumns=True)
     return (
         united.join(ranks, "_source_file", "left")

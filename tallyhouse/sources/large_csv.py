@@ -1,0 +1,99 @@
+"""CSV files too large for one task, although cells may hold line breaks.
+
+Spark reads a CSV file with quoted line breaks in one piece, since a split
+cannot know whether it begins inside a quoted cell. Here a file is read as
+lines, which do split. The number of quotes before a line tells whether it
+begins a record, and it is the quotes before its split plus those before it
+within the split. Cells that contain quotes must be quoted, as the format has
+it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import functions as F
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``value, quotes`` per line, and its place: file, split, and order within the split."""
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(paths)
+        .select(
+            "value",
+            (F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))).alias("quotes"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("at"),
+        )
+    )
+
+
+def _in_split() -> WindowSpec:
+    return Window.partitionBy("file", "split").orderBy("at")
+
+
+def _with_parity(lines: DataFrame) -> DataFrame:
+    """Add ``odd``: whether an odd number of quotes comes before the line in its split."""
+    before = F.sum("quotes").over(_in_split().rowsBetween(Window.unboundedPreceding, -1))
+    return lines.withColumn("odd", F.coalesce(before, F.lit(0)) % 2)
+
+
+def _splits(lines: DataFrame) -> DataFrame:
+    """Per split: lines, open quotes and records before it. One row per 128 MB or so."""
+    per_split = (
+        _with_parity(lines.drop("value"))
+        .groupBy("file", "split")
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            (F.sum("quotes") % 2).alias("odd"),
+            F.count_if(F.col("odd") == 0).alias("starts_even"),
+        )
+    )
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    entered = per_split.withColumn("odd_before", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+    # A split that begins inside a quoted cell has its other lines as starts.
+    starts = F.when(F.col("odd_before") == 0, F.col("starts_even")).otherwise(F.col("lines") - F.col("starts_even"))
+    return entered.withColumn("starts", starts).select(
+        "file",
+        "split",
+        "odd_before",
+        F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("lines_before"),
+        F.coalesce(F.sum("starts").over(before), F.lit(0)).alias("records_before"),
+    )
+
+
+def read_large_csv(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
+    """Text columns of ``header``, ``_source_file`` and ``_row``, which follows the lines of the file."""
+    lines = _lines(spark, paths)
+    placed = (
+        _with_parity(lines.join(_splits(lines), ["file", "split"]))
+        .withColumn("open", (F.col("odd") + F.col("odd_before")) % 2 == 1)
+        .withColumn("line", F.col("lines_before") + F.row_number().over(_in_split()))
+        .withColumn(
+            "record",
+            F.col("records_before")
+            + F.sum(F.when(F.col("open"), 0).otherwise(1)).over(
+                _in_split().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            ),
+        )
+        # The first record is the header.
+        .filter("record > 1")
+    )
+    whole = ~F.col("open") & (F.col("quotes") % 2 == 0)
+    single = placed.filter(whole & ~F.col("value").isin("", "\r")).select("file", "line", "value")
+    pieces = F.array_sort(F.collect_list(F.struct("line", "value")))
+    broken = (
+        placed.filter(~whole)
+        .groupBy("file", "record")
+        .agg(F.min("line").alias("line"), F.array_join(F.transform(pieces, lambda p: p.value), "\n").alias("value"))
+        .select("file", "line", "value")
+    )
+    fields = ", ".join("`{}` string".format(name.replace("`", "``")) for name in header)
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+    record = F.from_csv(F.regexp_replace("value", r"\r\z", ""), fields, options)
+    return (
+        single.unionByName(broken)
+        .select(record.alias("_r"), F.col("file").alias("_source_file"), F.col("line").alias("_row"))
+        .select("_r.*", "_source_file", "_row")
+    )

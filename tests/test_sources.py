@@ -1,5 +1,7 @@
+import csv
 import datetime as dt
 import json
+import random
 
 import duckdb
 import pytest
@@ -47,6 +49,36 @@ def test_row_numbers_follow_files_and_rows(spark, tmp_path):
     assert got == [f"a{i}" for i in range(20)] + [f"b{i}" for i in range(500)] + [f"c{i}" for i in range(100)]
 
 
+def test_large_files_are_split(spark, tmp_path):
+    """Random cells with quotes and line breaks, cut every few bytes, against the csv module."""
+    rng = random.Random(11)
+    words = ["a", "bb", "", 'say "hi"', "x,y", "line\nbreak", '"', "\n", '\n"\n', "é⭐️", "back\\slash"]
+    want = []
+    for name in ("a.csv", "b.csv"):
+        data = [[f"{name}{i}", rng.choice(words), rng.choice(words)] for i in range(120)]
+        with open(tmp_path / name, "w", newline="") as f:
+            csv.writer(f, lineterminator="\n").writerows([["id", 'B "x"', "C\nd"], *data])
+        want += data
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "61")
+    try:
+        rows = exports.read_exports(spark, str(tmp_path), large_file=0)
+        got = [list(r)[:3] for r in rows.select("id", '`B "x"`', "`C\nd`", "_row_seq").orderBy("_row_seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [[c or None for c in row] for row in want]
+    whole = exports.read_exports(spark, str(tmp_path)).select("id", '`B "x"`', "`C\nd`").collect()
+    assert sorted(map(repr, whole)) == sorted(repr(r) for r in rows.select("id", '`B "x"`', "`C\nd`").collect())
+
+
+def test_large_files_with_windows_line_ends(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_bytes(b'A,B\r\n1,"x\ny"\r\n\r\n2,z\r\n')
+    assert rows(exports.read_exports(spark, str(tmp_path), large_file=0), "A", "B") == [("1", "x\ny"), ("2", "z")]
+    (tmp_path / "b.csv").write_bytes(b"A,B\n1,2,3\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        exports.read_exports(spark, str(tmp_path), large_file=0).select("A", "B").collect()
+
+
 def test_repeated_and_blank_headers():
     assert exports.unique_names(["A", "a", "", "B", "A"]) == ["A", "a_1", "column2", "B", "A_2"]
 
