@@ -358,7 +358,7 @@ def sheet_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decorated names against plain sheet names: by dish, whatever the size."""
     names = view(spark, sf_dir, "fx_decorated_names")
     matched = prices.match_sheet(names.select("item_name").distinct(), view(spark, sf_dir, "fx_sheet"))
-    return names.join(matched, "item_name").drop("item_name")
+    return names.join(matched.filter("sheet_name is not null"), "item_name").drop("item_name")
 
 
 @_query(

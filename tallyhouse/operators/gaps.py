@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,30 +16,34 @@ def range_gaps(ranges: DataFrame, covering: bool = False) -> DataFrame:
     The ordered window has no partition key, but it sees one row per start
     date, which the calendar bounds.
     """
-    per_start = ranges.groupBy("start_date").agg(F.max("end_date").alias("end_date"))
+    per_range = ranges.groupBy("start_date", "end_date").agg(F.count(F.lit(1)).alias("_copies"))
+    # Ranges that end before they start leave a gap to the next range of the same start too.
+    inverted = F.date_add("end_date", 1) < F.col("start_date")
+    per_start = per_range.groupBy("start_date").agg(
+        F.max("end_date").alias("_last_end"),
+        F.collect_list(F.when(inverted, F.struct("end_date", "_copies"))).alias("_inverted"),
+    )
     by_start = Window.orderBy("start_date")
-    reach = F.max("end_date").over(by_start) if covering else F.col("end_date")
     steps = per_start.select(
-        F.date_add(reach, 1).alias("gap_start"),
-        F.date_sub(F.lead("start_date").over(by_start), 1).alias("gap_end"),
+        "*",
+        (F.max("_last_end").over(by_start) if covering else F.col("_last_end")).alias("_reach"),
+        F.lead("start_date").over(by_start).alias("_next"),
     )
-    gaps = steps.filter(F.col("gap_end") >= F.col("gap_start"))
-    if covering:
-        return gaps
-    # A range that ends before it starts also leaves a gap to the next range
-    # with the same start; the last of each start is already in `steps`.
-    inverted = (
-        ranges.filter(F.date_add("end_date", 1) < F.col("start_date"))
-        .groupBy("start_date", "end_date")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .join(per_start.withColumnRenamed("end_date", "_last_end"), "start_date")
-        .withColumn("_copies", F.col("_copies") - (F.col("end_date") == F.col("_last_end")).cast("int"))
-        .filter("_copies > 0")
-        .select(
-            F.date_add("end_date", 1).alias("gap_start"),
-            F.date_sub("start_date", 1).alias("gap_end"),
-            F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"),
+
+    def gap(first: Column, last: Column) -> Column:
+        return F.struct(first.alias("gap_start"), last.alias("gap_end"))
+
+    none = F.array().cast("array<struct<gap_start:date,gap_end:date>>")
+    after = gap(F.date_add("_reach", 1), F.date_sub("_next", 1))
+    gaps = F.when(F.col("_next") > F.date_add("_reach", 1), F.array(after)).otherwise(none)
+    if not covering:
+        # The last range of a start is followed by the next start, which `after` covers.
+        within = F.transform(
+            "_inverted",
+            lambda r: F.array_repeat(
+                gap(F.date_add(r.end_date, 1), F.date_sub("start_date", 1)),
+                (r._copies - (r.end_date == F.col("_last_end")).cast("int")).cast("int"),
+            ),
         )
-        .drop("_copy")
-    )
-    return gaps.unionByName(inverted)
+        gaps = F.concat(gaps, F.flatten(within))
+    return steps.select(F.inline(gaps))

@@ -21,12 +21,12 @@ from ..staging import stage
 
 
 def match_sheet(names: DataFrame, sheet: DataFrame) -> DataFrame:
-    """Price-sheet row for each item name: ``item_name, sheet_name, zomato_list_price``.
+    """Add ``sheet_name, zomato_list_price`` of the price-sheet row for each ``item_name``.
 
     Names match on dish and size; of several sheet rows with that key the first
     counts. A name without such a row takes the only sheet row of its dish, and
     none if the dish comes in several sizes. A row found this way that has no
-    list price prices nothing.
+    list price prices nothing. Both columns are NULL for names without a price.
     """
     keyed = sheet.select(
         dish_base(F.col("item_name")).alias("_base"),
@@ -40,20 +40,21 @@ def match_sheet(names: DataFrame, sheet: DataFrame) -> DataFrame:
         .filter("_sizes = 1")
         .drop("_sizes")
     )
+    hit = F.coalesce("_exact", "_only")
     return (
-        names.select(
-            "item_name",
-            dish_base(F.col("item_name")).alias("_base"),
-            dish_size(F.col("item_name")).alias("_size"),
-        )
+        names.withColumns({"_base": dish_base(F.col("item_name")), "_size": dish_size(F.col("item_name"))})
         .join(by_key, ["_base", "_size"], "left")
         .join(by_base, "_base", "left")
-        .withColumn("_hit", F.coalesce("_exact", "_only"))
-        .select("item_name", "_hit.sheet_name", "_hit.zomato_list_price")
-        .filter(F.col("zomato_list_price").isNotNull())
+        .withColumn("_hit", F.when(hit["zomato_list_price"].isNotNull(), hit))
+        .select(*names.columns, "_hit.sheet_name", "_hit.zomato_list_price")
     )
 
 
+def _numbered(names: DataFrame) -> DataFrame:
+    """Store the items with a number each, so that the solver moves and compares BIGINTs."""
+    return stage(names.withColumn("item_no", F.monotonically_increasing_id()), "item-numbers")
+
+
 @dataclass
 class _Bills:
     """Solver input by item number: lines with a quantity, and known bills."""
@@ -176,24 +177,16 @@ def item_prices(
     ``orders``: order_id, bill_subtotal. Lines without a quantity play no part
     in solving. ``items`` is read several times: pass a stored table.
     """
-    # Items get numbers, so that the solver moves and compares BIGINTs.
-    numbers = stage(
-        items.select("item_name").distinct().withColumn("item_no", F.monotonically_increasing_id()), "item-numbers"
-    )
-    from_sheet = stage(
-        match_sheet(numbers, sheet)
-        .join(numbers, "item_name")
-        .select("item_no", F.col("zomato_list_price").alias("mode_value"), "sheet_name"),
-        "sheet-prices",
-    )
-    bills = _bills(items, numbers, orders, seq)
-    observed = stage(_observed(bills).join(from_sheet, "item_no", "left_anti"), "observed-prices")
-    known = from_sheet.select("item_no", "mode_value").unionByName(observed.select("item_no", "mode_value"))
-    derived = _derived(bills, known)
-
-    sheet_tier = from_sheet.select(
+    numbers = _numbered(match_sheet(items.select("item_name").distinct(), sheet))
+    on_sheet = numbers.filter("zomato_list_price is not null")
+    sheet_prices = on_sheet.select("item_no", F.col("zomato_list_price").alias("mode_value"))
+    bills = _bills(items, numbers.select("item_name", "item_no"), orders, seq)
+    observed = stage(_observed(bills).join(sheet_prices, "item_no", "left_anti"), "observed-prices")
+    derived = _derived(bills, sheet_prices.unionByName(observed.select("item_no", "mode_value")))
+
+    sheet_tier = on_sheet.select(
         "item_no",
-        F.col("mode_value").alias("unit_price"),
+        F.col("zomato_list_price").alias("unit_price"),
         F.lit("sheet").alias("confidence"),
         F.lit(None).cast("int").alias("sample_n"),
         F.concat(F.lit(PRICE_METHODS["sheet"]), "sheet_name", F.lit("'")).alias("method"),
@@ -234,9 +227,7 @@ def last_menu_price(menu: DataFrame) -> DataFrame:
 
 def observed_prices(items: DataFrame, orders: DataFrame, seq: str = "_row_seq") -> DataFrame:
     """Prices seen directly on bills: ``item_name, unit_price, sample_n``."""
-    numbers = stage(
-        items.select("item_name").distinct().withColumn("item_no", F.monotonically_increasing_id()), "item-numbers"
-    )
+    numbers = _numbered(items.select("item_name").distinct())
     observed = _observed(_bills(items, numbers, orders, seq))
     return observed.join(numbers, "item_no").select(
         "item_name", F.col("mode_value").alias("unit_price"), F.col("sample_n").cast("int").alias("sample_n")
