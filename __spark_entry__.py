@@ -198,14 +198,14 @@ def typed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.orders(view(spark, sf_dir, "fx_bronze")).drop("_loaded_at")
 
 
-_SPLIT = """SELECT CAST(i.order_id AS VARCHAR) AS order_id, i.item_seq, i.quantity,
+_SPLIT = """SELECT CAST(i.order_id AS VARCHAR) AS order_id, i.item_seq - 100 * i.part AS item_seq, i.quantity,
       concat(i.item_name, CASE WHEN i.item_seq % 3 = 0 THEN ', large' ELSE '' END) AS item_name
-    FROM fx_items i"""
+    FROM fx_lines i"""
 
 
 @_query(
     "order_items_split",
-    ["fx_items", "fx_orders"],
+    ["fx_lines", "fx_orders"],
     f"""{_SPLIT} UNION ALL
     {_SPLIT} JOIN fx_orders o ON o.order_id = i.order_id WHERE o.order_status = 'Rejected'""",
 )
@@ -213,39 +213,43 @@ def order_items_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.order_items(view(spark, sf_dir, "fx_bronze")).drop("_row_seq")
 
 
-@_query("order_items_split_once", ["fx_items"], _SPLIT)
+@_query(
+    "order_items_split_once",
+    ["fx_lines"],
+    f"{_SPLIT} JOIN (SELECT order_id, max(part) AS part FROM fx_lines GROUP BY 1) p USING (order_id, part)",
+)
 def order_items_split_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.order_items(view(spark, sf_dir, "fx_bronze"), dedupe=True).drop("_row_seq")
 
 
 @_query(
     "direct_orders_typed",
-    ["fx_direct"],
+    ["fx_direct", "fx_order_parts"],
     """SELECT CAST(order_id AS INT) AS order_id, 'direct' AS source, 'confirmed' AS order_status,
       'pickup' AS order_type, CAST(NULL AS TIMESTAMP) AS slot_at, CAST(NULL AS VARCHAR) AS distance_band,
       CAST(NULL AS VARCHAR) AS locality, total AS food_total, 0 AS delivery_fee, total,
       order_placed_at AS created_at, order_placed_at AS confirmed_at, order_placed_at,
       concat('ph', order_id) AS customer_phone, concat('C', order_id) AS customer_name
-    FROM fx_direct""",
+    FROM fx_direct JOIN fx_order_parts USING (order_id)""",
 )
 def direct_orders_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.direct_orders(view(spark, sf_dir, "fx_direct_raw"))
 
 
 _DIRECT_ITEMS = """SELECT CAST(order_id AS INT) AS order_id, 'direct' AS source, concat('c', item_seq) AS catalog_id,
-      item_name, quantity, 1.5::DOUBLE * item_seq AS unit_price FROM fx_items"""
+      item_name, quantity, 1.5::DOUBLE * item_seq AS unit_price FROM fx_lines"""
 
 
-@_query("direct_order_items", ["fx_items"], _DIRECT_ITEMS)
+@_query("direct_order_items", ["fx_lines"], _DIRECT_ITEMS)
 def direct_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.direct_order_items(view(spark, sf_dir, "fx_direct_raw"))
 
 
-@_query("direct_snapshot_items", ["fx_items"], _DIRECT_ITEMS)
+@_query("direct_snapshot_items", ["fx_lines"], _DIRECT_ITEMS)
 def direct_snapshot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines, from envelopes of 500 orders read as files."""
     path = stage_path(spark, "direct-snapshot")
-    pages = view(spark, sf_dir, "fx_direct_json").groupBy(F.expr("order_id div 500")).agg(
+    pages = view(spark, sf_dir, "fx_direct_json").groupBy(F.expr("monotonically_increasing_id() div 500")).agg(
         F.concat(
             F.lit('{"ok": true, "generated_at": "2026-08-29", "orders": ['),
             F.array_join(F.collect_list("raw"), ","),
@@ -468,12 +472,13 @@ def week_gaps_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_gaps(exports.file_ranges(view(spark, sf_dir, "fx_files")), covering=True)
 
 
-_REEXPORTED = "SELECT count(*) FROM fx_orders WHERE order_status = 'Rejected'"
+_REEXPORTED = """SELECT CAST(sum(CASE WHEN order_status = 'Rejected' THEN 2 ELSE 1 END) - count(DISTINCT order_id) AS BIGINT)
+      FROM fx_orders JOIN fx_order_parts USING (order_id)"""
 
 
 @_query(
     "duplicate_order_ids",
-    ["fx_orders"],
+    ["fx_orders", "fx_order_parts"],
     f"SELECT ({_REEXPORTED}) AS duplicates, CAST(0 AS BIGINT) AS unparsed",
 )
 def duplicate_order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -502,7 +507,7 @@ def _data_quality_oracle() -> str:
     return " UNION ALL ".join(parts)
 
 
-@_query("data_quality", [*_PRICE_VIEWS, "fx_orders", "fx_ranges"], _data_quality_oracle())
+@_query("data_quality", [*_PRICE_VIEWS, "fx_orders", "fx_ranges", "fx_order_parts"], _data_quality_oracle())
 def data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.data_quality(
         exports.file_ranges(view(spark, sf_dir, "fx_files")),

@@ -11,6 +11,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyhouse.operators.ranking import sequence_within
 
 TABLES = ["nation", "customer", "part", "orders", "lineitem", "events"]
 
@@ -26,11 +29,19 @@ SELECT o_orderkey AS order_id, o_orderpriority AS restaurant_id,
   CASE WHEN o_orderkey % 11 = 0 THEN 'late' END AS customer_complaint_tag
 FROM orders""",
     "fx_items": """
-SELECT l_orderkey AS order_id,
-  CAST(row_number() OVER (PARTITION BY l_orderkey
-    ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS INT) AS item_seq,
-  CAST(l_quantity AS INT) AS quantity, p_name AS item_name
+SELECT l_orderkey AS order_id, CAST(l_quantity AS INT) AS quantity, p_name AS item_name
 FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    # Lines in order, in parts of a hundred: an order of any size is exported
+    # in rows of bounded size. Spark numbers them with `_numbered_lines`.
+    "fx_lines": """
+SELECT *, CAST(floor((item_seq - 1) / 100.0) AS INT) AS part FROM (
+  SELECT l_orderkey AS order_id, CAST(l_quantity AS INT) AS quantity, p_name AS item_name,
+    CAST(row_number() OVER (PARTITION BY l_orderkey
+      ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity) AS INT) AS item_seq
+  FROM lineitem JOIN part ON l_partkey = p_partkey) n""",
+    "fx_order_parts": """
+SELECT o_orderkey AS order_id, coalesce(l.part, 0) AS part
+FROM orders LEFT JOIN (SELECT DISTINCT order_id, part FROM fx_lines) l ON l.order_id = o_orderkey""",
     # Bills with red or large dishes are not known, so that some dishes can
     # only be priced from the menu, and some not at all.
     "fx_bills": """
@@ -95,10 +106,10 @@ SECOND_FILE = "order_history_20260108_20260114.csv"
 
 RAW = {
     "fx_items_text": """
-SELECT order_id, array_join(transform(array_sort(collect_list(struct(item_seq,
+SELECT order_id, part, array_join(transform(array_sort(collect_list(struct(item_seq,
     concat(quantity, ' x ', item_name, CASE WHEN item_seq % 3 = 0 THEN ', large' ELSE '' END) AS t))),
   x -> x.t), ', ') AS items
-FROM fx_items GROUP BY order_id""",
+FROM fx_lines GROUP BY order_id, part""",
     # Orders that were still open in the first export are exported again in the second.
     "fx_bronze": f"""
 SELECT o.restaurant_id AS `Restaurant ID`, o.restaurant_name AS `Restaurant name`,
@@ -124,7 +135,7 @@ SELECT o.restaurant_id AS `Restaurant ID`, o.restaurant_name AS `Restaurant name
   CAST(o.customer_id AS STRING) AS `Customer ID`,
   CASE WHEN o.customer_id % 2 = 0 THEN '' ELSE concat('ph', o.customer_id) END AS `Customer Phone`,
   t.items AS `Items in order`, if(o.number = 1, '{FIRST_FILE}', '{SECOND_FILE}') AS `_source_file`,
-  o.number * 10000000000 + o.order_id AS `_row_seq`, TIMESTAMP '2026-01-15 00:00:00' AS `_loaded_at`
+  o.number * 1000000000000 + coalesce(t.part, 0) AS `_row_seq`, TIMESTAMP '2026-01-15 00:00:00' AS `_loaded_at`
 FROM (SELECT *, explode(if(order_status = 'Rejected', array(1, 2), array(1))) AS number FROM fx_orders) o
 LEFT JOIN fx_items_text t ON t.order_id = o.order_id""",
     "fx_files": """
@@ -152,7 +163,7 @@ SELECT d.order_id, to_json(named_struct('order_id', d.order_id, 'status', 'confi
   'customer_phone', concat('ph', d.order_id), 'customer_name', concat('C', d.order_id),
   'items', coalesce(i.items, array()))) AS raw
 FROM fx_direct d LEFT JOIN (SELECT order_id, collect_list(named_struct('catalog_id', concat('c', item_seq),
-  'name', item_name, 'qty', quantity, 'unit_price', 1.5D * item_seq)) AS items FROM fx_items GROUP BY order_id) i
+  'name', item_name, 'qty', quantity, 'unit_price', 1.5D * item_seq)) AS items FROM fx_lines GROUP BY order_id, part) i
   ON i.order_id = d.order_id""",
     # A bronze row as the snapshot reader leaves it.
     "fx_direct_raw": """
@@ -174,7 +185,7 @@ SELECT to_json(named_struct('ok', true, 'generated_at', '2026-08-29T10:00:00Z',
       'rows', collect_list(array(CAST(o_orderkey AS VARIANT), CAST(o_custkey AS VARIANT),
         CAST(o_orderstatus AS VARIANT), CAST(o_totalprice AS VARIANT),
         CAST(CAST(o_orderdate AS STRING) AS VARIANT), CAST(o_orderpriority AS VARIANT))))))) AS doc
-FROM orders GROUP BY o_orderkey DIV 500""",
+FROM (SELECT *, monotonically_increasing_id() DIV 500 AS page FROM orders) o GROUP BY page""",
 }
 
 _VIEWS = {**PORTABLE, **RAW}
@@ -185,10 +196,29 @@ def _used(name: str, among: list[str]) -> list[str]:
     return [v for v in among if v != name and re.search(rf"\b{v}\b", _VIEWS[name])]
 
 
+def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_lines`` without a window over an order that may hold much of the table."""
+    part = view(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("item_name"))
+    lines = view(spark, sf_dir, "lineitem").drop("l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"]
+    numbered = sequence_within(
+        lines.join(part, "l_partkey"), ["l_orderkey"], [F.asc(c) for c in order], "item_seq", counted=lines
+    )
+    return numbered.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        "item_name",
+        F.col("item_seq").cast("int").alias("item_seq"),
+        F.floor((F.col("item_seq") - 1) / 100).cast("int").alias("part"),
+    )
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view ``name`` over the tables in ``sf_dir``."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name == "fx_lines":
+        return _numbered_lines(spark, sf_dir)
     for table in TABLES:
         if re.search(rf"\b{table}\b", _VIEWS[name]):
             view(spark, sf_dir, table).createOrReplaceTempView(table)
