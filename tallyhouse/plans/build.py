@@ -28,7 +28,9 @@ class Inputs:
 
 
 def build_exports(warehouse: Warehouse, inputs: Inputs) -> None:
-    raw = warehouse.publish("bronze.order_history_raw", read_exports(warehouse.spark, inputs.exports))
+    rows = read_exports(warehouse.spark, inputs.exports)
+    files = list_files(warehouse.spark, inputs.exports).count()
+    raw = warehouse.publish("bronze.order_history_raw", rows, note=f"files: {files}")
     # Before the strict parse, so that the message can say how many are bad.
     unparsed = quality.export_checks(raw).first().unparsed
     if unparsed:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,13 +28,13 @@ def sheet_from_text(rows: DataFrame, seq: str) -> DataFrame:
     skipped. Of rows with the same name the last one counts, at the place of
     the first: ``sheet_seq`` keeps that place.
     """
-    given = {c.strip(): c for c in rows.columns}
-    numbers = [
-        (to_double(strip(F.col(f"`{given[n]}`"))) if n in given else F.lit(None).cast("double")).alias(n)
-        for n in SHEET_NUMBERS
-    ]
+    def text(name: str) -> Column:
+        return strip(F.col(name)) if name in rows.columns else F.lit(None).cast("string")
+
     typed = rows.select(
-        strip(F.col(f"`{given['item_name']}`")).alias("item_name"), *numbers, F.col(seq).alias("_seq")
+        text("item_name").alias("item_name"),
+        *[to_double(text(n)).alias(n) for n in SHEET_NUMBERS],
+        F.col(seq).alias("_seq"),
     ).filter("item_name <> ''")
     return (
         typed.groupBy("item_name")

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from tallyhouse.__main__ import main
 from tallyhouse.plans.build import Inputs, build
 from tallyhouse.publish import Warehouse
 from tallyhouse.schemas import EXPORT_COLUMNS, ITEMS_COLUMN
@@ -125,7 +126,7 @@ def test_full_build(spark, tmp_path, inputs):
     assert table(spark, "d1.settings", "key", "n") == [("open", 1)]
     assert not spark.catalog.tableExists("d1.waiting")
     report = {r.table: (r.rows, r.note) for r in warehouse.report().collect()}
-    assert report["silver.orders"] == (3, "") and report["bronze.order_history_raw"] == (4, "")
+    assert report["silver.orders"] == (3, "") and report["bronze.order_history_raw"] == (4, "files: 2")
     assert report["silver.menu_items"] == (1, "unmatched order_items rows: 2")
     assert report["gold.dough_balance_check"][0] == 1 and "timeout" in report["d1.lost"][1]
 
@@ -156,6 +157,20 @@ def test_without_snapshots(spark, tmp_path, inputs):
     assert table(spark, "gold.combined_weekly_sales", "source") == [("zomato",)]
 
 
+def test_command_line(spark, tmp_path, inputs, capfd):
+    (tmp_path / "sheet.csv").write_text("item_name,zomato_list_price\nTea,99\n")
+    args = [
+        "--root", str(tmp_path / "root"), "--exports", inputs.exports, "--menu", inputs.menu,
+        "--price-sheet", str(tmp_path / "sheet.csv"), "--if-changed",
+    ]
+    assert main(args, spark)
+    assert table(spark, "gold.item_prices", "item_name", "unit_price", "confidence") == [("Bun", None, "unknown"), ("Tea", 99.0, "sheet")]
+    assert not main(args, spark)
+    (tmp_path / "sheet.csv").write_text("")
+    assert main(args, spark)
+    assert ("Tea", 10.0) in table(spark, "gold.item_prices", "item_name", "unit_price")
+
+
 def test_rebuild_if_changed(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
