@@ -21,6 +21,7 @@ from tallyhouse.functions.text import dish_base, dish_size  # noqa: E402
 from tallyhouse.operators.gaps import range_gaps  # noqa: E402
 from tallyhouse.operators.modes import mode_two_decimals  # noqa: E402
 from tallyhouse.plans import loyalty, orders, prices, quality, sales  # noqa: E402
+from tallyhouse.plans.build import Inputs, build  # noqa: E402
 from tallyhouse.publish import Warehouse  # noqa: E402
 from tallyhouse.sources import exports, mirror, reference_csv, snapshots  # noqa: E402
 from tallyhouse.staging import stage, stage_path  # noqa: E402
@@ -245,19 +246,25 @@ def direct_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.direct_order_items(view(spark, sf_dir, "fx_direct_raw"))
 
 
+def _write_snapshot(path: str, **sections: DataFrame) -> None:
+    """Documents of at most 500 elements of one section, one per line."""
+    for section, rows in sections.items():
+        pages = rows.groupBy(F.expr("monotonically_increasing_id() div 500")).agg(
+            F.concat(
+                F.lit(f'{{"ok": true, "generated_at": "2026-08-29", "{section}": ['),
+                F.array_join(F.collect_list("raw"), ","),
+                F.lit("]}"),
+            ).alias("value")
+        )
+        pages.select("value").write.mode("append").text(path)
+
+
 @_query("direct_snapshot_items", ["fx_lines"], _DIRECT_ITEMS)
 def direct_snapshot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines, from envelopes of 500 orders read as files."""
     path = stage_path(spark, "direct-snapshot")
-    pages = view(spark, sf_dir, "fx_direct_json").groupBy(F.expr("monotonically_increasing_id() div 500")).agg(
-        F.concat(
-            F.lit('{"ok": true, "generated_at": "2026-08-29", "orders": ['),
-            F.array_join(F.collect_list("raw"), ","),
-            F.lit("]}"),
-        ).alias("value")
-    )
-    pages.select("value").write.text(path)
-    envelopes = snapshots.require_ok(spark.read.schema(snapshots.ORDERS_ENVELOPE).json(path))
+    _write_snapshot(path, orders=view(spark, sf_dir, "fx_direct_json"))
+    envelopes = snapshots.read_envelopes(spark, path, snapshots.ORDERS_ENVELOPE, one_per_line=True)
     return orders.direct_order_items(snapshots.direct_orders_raw(envelopes))
 
 
@@ -654,3 +661,57 @@ def build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     performance = sales.item_performance(view(spark, sf_dir, "fx_items"), found)
     warehouse.publish("gold.item_performance", performance, note="one row per restaurant and item")
     return warehouse.report()
+
+
+def _full_build_oracle() -> str:
+    lines = "fx_lines JOIN fx_orders USING (order_id)"
+    name = "concat(item_name, CASE WHEN item_seq % 3 = 0 THEN ', large' ELSE '' END)"
+    weeks = "SELECT DISTINCT date_trunc('week', order_placed_at)"
+    per_week = "FROM (SELECT DISTINCT restaurant_id, date_trunc('week', order_placed_at) FROM fx_orders) w"
+    raw = "FROM fx_orders JOIN fx_order_parts USING (order_id)"
+    twice = "sum(CASE WHEN order_status = 'Rejected' THEN 2 ELSE 1 END)"
+    rows = {
+        "bronze.order_history_raw": f"{twice} {raw}",
+        "silver.orders": "count(*) FROM fx_orders",
+        "silver.order_items": f"{twice} FROM {lines}",
+        "silver.menu_items": "count(*) FROM fx_menu",
+        "bronze.direct_orders_raw": f"count(*) {raw}",
+        "silver.direct_orders": f"count(*) {raw}",
+        "silver.direct_order_items": "count(*) FROM fx_lines",
+        "gold.weekly_sales": f"count(*) {per_week}",
+        "gold.item_performance": f"count(*) FROM (SELECT DISTINCT restaurant_id, {name} FROM {lines}) p",
+        "gold.customer_summary": "count(*) FROM (SELECT DISTINCT restaurant_id, customer_id FROM fx_orders) c",
+        "gold.ops_quality": f"count(*) {per_week}",
+        "gold.item_prices": f"count(*) FROM (SELECT DISTINCT {name} FROM fx_lines) n",
+        "gold.data_quality": "6",
+        "gold.combined_weekly_sales": f"2 * count(*) FROM ({weeks} FROM fx_orders) w",
+    }
+    return " UNION ALL ".join(
+        f"""SELECT '{table}' AS "table", (SELECT CAST(n AS BIGINT) FROM (SELECT {count.replace(" FROM", " AS n FROM", 1) if " FROM" in count else count + " AS n"}) c) AS rows"""
+        for table, count in rows.items()
+    )
+
+
+@_query(
+    "full_build",
+    ["fx_orders", "fx_lines", "fx_order_parts", "fx_menu"],
+    _full_build_oracle(),
+)
+def full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports, menu, sheet and direct orders as files, built from end to end; rows per table."""
+    folder = stage_path(spark, "full-build")
+    as_csv = {
+        "header": True, "quote": '"', "escape": '"',
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+    raw = view(spark, sf_dir, "fx_bronze").drop("_source_file", "_row_seq", "_loaded_at")
+    raw.write.csv(f"{folder}/exports", **as_csv)
+    menu = view(spark, sf_dir, "fx_menu")
+    blank = [F.lit(None).cast("string").alias(c) for c in ("subcategory", "is_veg", "size")]
+    end = [F.lit(None).cast("string").alias(c) for c in ("unit_cost", "active")]
+    menu.select("item_name", "category", *blank, "list_price", *end).write.csv(f"{folder}/menu", **as_csv)
+    view(spark, sf_dir, "fx_sheet").drop("sheet_seq").write.csv(f"{folder}/sheet", **as_csv)
+    _write_snapshot(f"{folder}/direct", orders=view(spark, sf_dir, "fx_direct_json"))
+    names = ("exports", "menu", "sheet", "direct")
+    inputs = Inputs(*(f"{folder}/{name}" for name in names), one_per_line=True)
+    return build(spark, stage_path(spark, "warehouse"), inputs).report().select("table", "rows")

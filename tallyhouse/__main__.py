@@ -23,6 +23,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     parser.add_argument("--direct-orders", help="direct-order snapshot; its tables stay as they are without")
     parser.add_argument("--loyalty", help="loyalty snapshot; its tables stay as they are without")
     parser.add_argument("--tables", help="snapshot of further tables to mirror")
+    parser.add_argument("--one-per-line", action="store_true", help="snapshot files hold one document per line")
     parser.add_argument("--if-changed", action="store_true", help="build only if a CSV file was added, edited or removed")
     given = vars(parser.parse_args(argv))
     root, if_changed = given.pop("root"), given.pop("if_changed")

@@ -17,7 +17,10 @@ from . import loyalty, orders, prices, quality, sales
 
 @dataclass
 class Inputs:
-    """Where the files are. A snapshot left out leaves its tables as they were."""
+    """Where the files are. A snapshot left out leaves its tables as they were.
+
+    Snapshots hold one document per file, or one per line if ``one_per_line``.
+    """
 
     exports: str
     menu: str
@@ -25,6 +28,7 @@ class Inputs:
     direct_orders: str | None = None
     loyalty: str | None = None
     tables: str | None = None
+    one_per_line: bool = False
 
 
 def build_exports(warehouse: Warehouse, inputs: Inputs) -> None:
@@ -46,15 +50,15 @@ def build_menu(warehouse: Warehouse, inputs: Inputs) -> None:
     warehouse.publish("silver.menu_items", menu, note=f"unmatched order_items rows: {lines}")
 
 
-def build_direct(warehouse: Warehouse, path: str) -> None:
-    envelopes = read_envelopes(warehouse.spark, path, ORDERS_ENVELOPE)
+def build_direct(warehouse: Warehouse, path: str, one_per_line: bool = False) -> None:
+    envelopes = read_envelopes(warehouse.spark, path, ORDERS_ENVELOPE, one_per_line)
     raw = warehouse.publish("bronze.direct_orders_raw", direct_orders_raw(envelopes))
     warehouse.publish("silver.direct_orders", orders.direct_orders(raw))
     warehouse.publish("silver.direct_order_items", orders.direct_order_items(raw))
 
 
-def build_loyalty(warehouse: Warehouse, path: str) -> None:
-    envelopes = read_envelopes(warehouse.spark, path, LOYALTY_ENVELOPE)
+def build_loyalty(warehouse: Warehouse, path: str, one_per_line: bool = False) -> None:
+    envelopes = read_envelopes(warehouse.spark, path, LOYALTY_ENVELOPE, one_per_line)
     raw = {
         section: warehouse.publish(f"bronze.dough_{section}", raw_section(envelopes, section))
         for section in ("ledger", "balances", "referrals")
@@ -76,8 +80,8 @@ def build_loyalty(warehouse: Warehouse, path: str) -> None:
     warehouse.note("gold.dough_balance_check", check.count(), "customers where cache and ledger disagree")
 
 
-def build_mirror(warehouse: Warehouse, path: str) -> None:
-    mirror = read_mirror(warehouse.spark, path)
+def build_mirror(warehouse: Warehouse, path: str, one_per_line: bool = False) -> None:
+    mirror = read_mirror(warehouse.spark, path, one_per_line)
     for name, table in mirror.tables.items():
         warehouse.publish(f"d1.{name}", table)
     for name in mirror.empty:
@@ -111,10 +115,10 @@ def build(spark: SparkSession, root: str, inputs: Inputs) -> Warehouse:
     build_exports(warehouse, inputs)
     build_menu(warehouse, inputs)
     if inputs.direct_orders:
-        build_direct(warehouse, inputs.direct_orders)
+        build_direct(warehouse, inputs.direct_orders, inputs.one_per_line)
     if inputs.loyalty:
-        build_loyalty(warehouse, inputs.loyalty)
+        build_loyalty(warehouse, inputs.loyalty, inputs.one_per_line)
     if inputs.tables:
-        build_mirror(warehouse, inputs.tables)
+        build_mirror(warehouse, inputs.tables, inputs.one_per_line)
     build_gold(warehouse, inputs)
     return warehouse

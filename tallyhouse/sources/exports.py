@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import csv
-import io
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -72,24 +70,32 @@ def unique_names(header: list[str]) -> list[str]:
     return names
 
 
-def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from urllib.parse import unquote
+def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The one function that runs in Python workers. It is an inner function that
+    imports what it needs, so it travels by value: workers need not have this package."""
 
-    from pyarrow import fs
+    def read(batches):
+        import csv
+        import io
+        from urllib.parse import unquote
 
-    for batch in batches:
-        headers = []
-        for uri in batch["file_path"]:
-            scheme, _, rest = uri.partition(":")
-            uri = f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme) }:{rest}"
-            if scheme == "file":
-                filesystem, path = fs.LocalFileSystem(), "/" + unquote(rest).lstrip("/")
-            else:
-                filesystem, path = fs.FileSystem.from_uri(uri)
-            with filesystem.open_input_stream(path) as raw:
-                text = io.TextIOWrapper(io.BufferedReader(raw), encoding="utf-8-sig", newline="")
-                headers.append(unique_names(next(csv.reader(text), [])))
-        yield batch.assign(header=headers)
+        from pyarrow import fs
+
+        for batch in batches:
+            headers = []
+            for uri in batch["file_path"]:
+                scheme, _, rest = uri.partition(":")
+                if scheme == "file":
+                    filesystem, path = fs.LocalFileSystem(), "/" + unquote(rest).lstrip("/")
+                else:
+                    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+                    filesystem, path = fs.FileSystem.from_uri(f"{scheme}:{rest}")
+                with filesystem.open_input_stream(path) as raw:
+                    text = io.TextIOWrapper(io.BufferedReader(raw), encoding="utf-8-sig", newline="")
+                    headers.append(next(csv.reader(text), []))
+            yield batch.assign(header=headers)
+
+    return read
 
 
 def read_headers(files: DataFrame) -> DataFrame:
@@ -98,7 +104,7 @@ def read_headers(files: DataFrame) -> DataFrame:
         files.select("path", "file_path", "length")
         # An explicit number, or AQE would merge these tiny rows into one task.
         .repartition(files.sparkSession.sparkContext.defaultParallelism)
-        .mapInPandas(_read_headers, "path string, file_path string, length bigint, header array<string>")
+        .mapInPandas(_header_reader(), "path string, file_path string, length bigint, header array<string>")
     )
 
 
@@ -142,7 +148,7 @@ def read_exports(
     for r in found:
         if r.header:
             literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", r.path)
-            groups.setdefault((tuple(r.header), r.length > large_file), []).append(literal)
+            groups.setdefault((tuple(unique_names(r.header)), r.length > large_file), []).append(literal)
     if not groups:
         raise FileNotFoundError(f"no export with a header in {folder}")
     ranks = spark.createDataFrame(

@@ -169,5 +169,5 @@ def mirror_tables(envelopes: DataFrame) -> Mirror:
     return Mirror(tables, empty, failed)
 
 
-def read_mirror(spark: SparkSession, path: str) -> Mirror:
-    return mirror_tables(read_envelopes(spark, path, TABLES_ENVELOPE))
+def read_mirror(spark: SparkSession, path: str, one_per_line: bool = False) -> Mirror:
+    return mirror_tables(read_envelopes(spark, path, TABLES_ENVELOPE, one_per_line))

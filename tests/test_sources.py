@@ -1,7 +1,10 @@
 import csv
 import datetime as dt
 import json
+import os
 import random
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -79,6 +82,16 @@ def test_large_files_with_windows_line_ends(spark, tmp_path, rows):
         exports.read_exports(spark, str(tmp_path), large_file=0).select("A", "B").collect()
 
 
+def test_header_reader_travels_by_value(tmp_path):
+    """Workers of a cluster do not have this package."""
+    from pyspark import cloudpickle
+
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(exports._header_reader()))
+    code = "import pickle; pickle.load(open('f', 'rb')); import importlib.util as u; assert not u.find_spec('tallyhouse')"
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, check=True)
+
+
 def test_repeated_and_blank_headers():
     assert exports.unique_names(["A", "a", "", "B", "A"]) == ["A", "a_1", "column2", "B", "A_2"]
 
