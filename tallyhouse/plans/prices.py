@@ -146,11 +146,13 @@ def _derived(bills: _Bills, known: DataFrame) -> DataFrame | None:
         if found.isEmpty():
             break
         solved.append(found)
-        lines = stage(priced.filter("price is null").select("order_id", "item_no", "quantity"), "price-lines")
         # An order with one unpriced line is solved now, or never (quantity 0).
         open_orders = state.filter("n_unpriced > 1").select(
             "order_id", "bill", "order_seq", "known_cents", "known_rest"
         )
+        if open_orders.isEmpty():
+            break
+        lines = stage(priced.filter("price is null").select("order_id", "item_no", "quantity"), "price-lines")
     return reduce(DataFrame.unionByName, solved) if solved else None
 
 

@@ -100,10 +100,11 @@ def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
 
 def read_headers(files: DataFrame) -> DataFrame:
     """``path, file_path, length, header`` per file; the tasks read the first record only."""
+    # An explicit number, or AQE would merge these tiny rows into one task.
+    tasks = max(1, min(files.count(), files.sparkSession.sparkContext.defaultParallelism))
     return (
         files.select("path", "file_path", "length")
-        # An explicit number, or AQE would merge these tiny rows into one task.
-        .repartition(files.sparkSession.sparkContext.defaultParallelism)
+        .repartition(tasks)
         .mapInPandas(_header_reader(), "path string, file_path string, length bigint, header array<string>")
     )
 
