@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import fixtures  # noqa: E402
 from fixtures import FIRST_FILE, SECOND_FILE, view, with_views  # noqa: E402
 from tallyhouse.functions.text import dish_base, dish_size  # noqa: E402
 from tallyhouse.operators.gaps import range_gaps  # noqa: E402

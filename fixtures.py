@@ -73,7 +73,7 @@ FROM fx_ledger GROUP BY customer_id
 UNION ALL
 SELECT 100000000 + n_nationkey, concat('ph', CAST(100000000 + n_nationkey AS VARCHAR(20))), n_name,
   CASE WHEN n_nationkey % 3 = 0 THEN 0 WHEN n_nationkey % 3 = 1 THEN 7 ELSE NULL END,
-  CAST(NULL AS TIMESTAMP), NULL
+  NULL, NULL
 FROM nation""",
     "fx_batches": "SELECT p_partkey AS id, p_name AS sku FROM part",
     "fx_moves": """
