@@ -30,8 +30,26 @@ def require_ok(envelopes: DataFrame) -> DataFrame:
     return envelopes.filter(check(accepted, "snapshot refused: it does not say ok"))
 
 
+def _holds_documents_per_line(spark: SparkSession, path: str) -> bool:
+    """Whether a file of several lines has an object on each of them."""
+    text = F.trim("value")
+    lines = spark.read.text(path).select(text.alias("line"), F.col("_metadata.file_path").alias("file"))
+    per_file = (
+        lines.filter("line <> ''")
+        .groupBy("file")
+        .agg(F.count("line").alias("lines"), F.count_if(F.col("line").like("{%}")).alias("objects"))
+    )
+    return not per_file.filter("lines > 1 and lines = objects").isEmpty()
+
+
 def read_envelopes(spark: SparkSession, path: str, schema: str, one_per_line: bool = False) -> DataFrame:
-    """Documents of a snapshot: one per file, or one per line."""
+    """Documents of a snapshot: one per file, or one per line.
+
+    Spark reads the first document of a file and passes over what follows, so
+    a file with one per line is refused unless it is announced.
+    """
+    if not one_per_line and _holds_documents_per_line(spark, path):
+        raise ValueError(f"snapshot refused: {path} has a document per line, read it with one_per_line")
     envelopes = spark.read.schema(schema).json(path, multiLine=not one_per_line)
     if envelopes.select("ok").isEmpty():
         raise ValueError(f"snapshot refused: nothing in {path}")

@@ -210,6 +210,15 @@ def test_empty_and_broken_snapshots_are_refused(spark, tmp_path):
         snapshots.read_envelopes(spark, str(tmp_path / "page.json"), snapshots.LOYALTY_ENVELOPE).collect()
 
 
+def test_documents_per_line_are_never_cut_short(spark, tmp_path):
+    lines = [json.dumps({"ok": True, "ledger": [{"id": i}]}) for i in range(3)]
+    write(tmp_path, "lines.json", "\n".join(lines) + "\n")
+    with pytest.raises(ValueError, match="one_per_line"):
+        snapshots.read_envelopes(spark, str(tmp_path), snapshots.LOYALTY_ENVELOPE)
+    found = snapshots.read_envelopes(spark, str(tmp_path), snapshots.LOYALTY_ENVELOPE, one_per_line=True)
+    assert snapshots.raw_section(found, "ledger").count() == 3
+
+
 def test_loyalty_sections(spark, tmp_path, rows):
     document = {
         "ok": True,
