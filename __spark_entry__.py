@@ -47,12 +47,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return weekly_sales(spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the ``llm`` subpackage and the pipeline, where they are there."""
+    try:
+        import corpus_pipeline
+        from tallyhouse.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as missing:
+        if not (missing.name == "corpus_pipeline" or (missing.name or "").startswith("tallyhouse.llm")):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, {**ORACLES, **sql}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return {**_ORACLES, **_training_data()[1]}
 
 
 # --- weekly, item and customer answers -------------------------------------
