@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import license_scan, quality
+from tallyhouse.llm import license_scan, mixing, pii, quality
 
 QUERIES = {
     "op3_license_scan": license_scan.op3_license_scan,
+    "op4_pii": pii.op4_pii,
     "op7_quality_rules": quality.op7_quality_rules,
+    "op9_mixing": mixing.op9_mixing,
 }
 ORACLES = {
     "op3_license_scan": license_scan.ORACLE,
     "op7_quality_rules": quality.ORACLE,
+    "op9_mixing": mixing.ORACLE,
 }
