@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import license_scan, mixing, pii, quality
+from tallyhouse.llm import html_text, license_scan, mixing, minhash, pii, quality, vectors
 
 QUERIES = {
     "op3_license_scan": license_scan.op3_license_scan,
     "op4_pii": pii.op4_pii,
+    "op5_vector_duplicates": vectors.op5_vector_duplicates,
+    "op6_html_text": html_text.op6_html_text,
     "op7_quality_rules": quality.op7_quality_rules,
     "op9_mixing": mixing.op9_mixing,
+    "op10_minhash_duplicates": minhash.op10_minhash_duplicates,
 }
 ORACLES = {
     "op3_license_scan": license_scan.ORACLE,
+    "op5_vector_duplicates": vectors.ORACLE,
     "op7_quality_rules": quality.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op10_minhash_duplicates": minhash.ORACLE,
 }
