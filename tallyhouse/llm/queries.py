@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import html_text, license_scan, mixing, minhash, pii, quality, vectors
+from tallyhouse.llm import html_text, license_scan, mixing, minhash, pii, quality, suffix_dedup, vectors
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op3_license_scan": license_scan.op3_license_scan,
     "op4_pii": pii.op4_pii,
     "op5_vector_duplicates": vectors.op5_vector_duplicates,
