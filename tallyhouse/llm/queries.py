@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import html_text, license_scan, mixing, minhash, pii, quality, suffix_dedup, vectors
+from tallyhouse.llm import html_text, license_scan, minhash, mixing, packing, pii, quality, suffix_dedup, token_counts, vectors
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+    "op2_token_counts": token_counts.op2_token_counts,
     "op3_license_scan": license_scan.op3_license_scan,
     "op4_pii": pii.op4_pii,
     "op5_vector_duplicates": vectors.op5_vector_duplicates,
     "op6_html_text": html_text.op6_html_text,
     "op7_quality_rules": quality.op7_quality_rules,
+    "op8_packing": packing.op8_packing,
     "op9_mixing": mixing.op9_mixing,
     "op10_minhash_duplicates": minhash.op10_minhash_duplicates,
 }
