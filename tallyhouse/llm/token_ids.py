@@ -1,8 +1,8 @@
 """Token ids of whole texts by the ``tokenizers`` library, each distinct word run once per batch.
 
 A byte-level tokenizer splits a text before it merges bytes, and always between
-a character that is no white space and the white space behind it. The runs
-between such places are encoded apart, so their ids can be reused: distinct
+a character that is no white space and the white space behind it, and between
+a letter and a mark. The runs between such places are encoded apart, so their ids can be reused: distinct
 runs of a batch are found by hash, new ones are encoded, and the batch's ids are
 put together from them. Other tokenizers encode whole texts.
 """
@@ -14,6 +14,7 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from tallyhouse.llm.text_bytes import prefix_sums, slices, stretch_hash, utf8
@@ -21,8 +22,15 @@ from tallyhouse.llm.text_bytes import prefix_sums, slices, stretch_hash, utf8
 #: Runs remembered per worker.
 REMEMBERED = 400_000
 
+#: Runs encoded in one call.
+TOGETHER = 2000
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b'.,;:!?()"-/')] = True  # not the apostrophe, which may begin a run with letters
 _OPEN: dict[str, TokenIds] = {}
 
 
@@ -38,6 +46,12 @@ def _wide_space_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     )
 
 
+def _letter_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether an ASCII or Latin-1 letter ends before ``at``; other letters may be missed."""
+    one, two = data[at - 1], data[np.maximum(at - 2, 0)]
+    return _LETTER[one] | (two == 0xC3) & (one >= 0x80) & (one != 0x97) & (one != 0xB7)
+
+
 class TokenIds:
     """A tokenizer file, opened once per worker."""
 
@@ -62,6 +76,28 @@ class TokenIds:
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _encoded_runs(self, runs: list[str], plain: np.ndarray) -> list[bytes]:
+        """The ids of runs. Plain ones, from white space to a letter or mark, are written behind each other and encoded together."""
+        found: list[bytes] = [b""] * len(runs)
+        alone = np.flatnonzero(~plain).tolist()
+        for lo in range(0, len(alone), TOGETHER):
+            some = alone[lo : lo + TOGETHER]
+            for i, ids in zip(some, self._encoded([runs[i] for i in some]), strict=True):
+                found[i] = ids
+        joined = np.flatnonzero(plain).tolist()
+        for lo in range(0, len(joined), TOGETHER):
+            some = joined[lo : lo + TOGETHER]
+            text = "".join([runs[i] for i in some])
+            encoded = self.tokenizer.encode(text, add_special_tokens=False)
+            ids = np.array(encoded.ids, self.kind)
+            # a token begins in its run, also where its white space is not counted
+            token_at = np.fromiter((o[0] for o in encoded.offsets), np.int64, len(ids))
+            run_at = np.cumsum([0, *(len(runs[i]) for i in some[:-1])])
+            cuts = np.append(np.searchsorted(token_at, run_at), len(ids)).tolist()
+            for i, a, b in zip(some, cuts, cuts[1:], strict=False):
+                found[i] = ids[a:b].tobytes()
+        return found
+
     def slice_ids(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of consecutive texts, and where each text's begin and end."""
         data, at = data[at[0] : at[-1]], at - at[0]
@@ -73,9 +109,14 @@ class TokenIds:
         space = _SPACE[data]
         cut = np.flatnonzero(space[1:] & ~space[:-1]) + 1
         cut = cut[~_wide_space_before(data, cut)] if len(cut) else cut
-        starts = np.union1d(cut, at[:-1][at[:-1] < at[1:]])
+        mark = np.flatnonzero(_MARK[data[1:]]) + 1
+        begins = np.zeros(len(data) + 1, bool)
+        begins[cut] = begins[at[:-1]] = begins[mark[_letter_before(data, mark)]] = True
+        starts = np.flatnonzero(begins[:-1])
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
-        runs, first, of = np.unique(stretch_hash(prefix_sums(data), starts, ends), return_index=True, return_inverse=True)
+        of, runs = pd.factorize(stretch_hash(prefix_sums(data), starts, ends))
+        first = np.empty(len(runs), np.int64)
+        first[of[::-1]] = np.arange(len(of))[::-1]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         keys = runs.tolist()
@@ -83,14 +124,14 @@ class TokenIds:
         missing = [i for i, ids in enumerate(found) if ids is None]
         raw = data.tobytes()
         begin, end = starts[first].tolist(), ends[first].tolist()
-        for lo in range(0, len(missing), 20_000):
-            some = missing[lo : lo + 20_000]
-            for i, ids in zip(some, self._encoded([raw[begin[i] : end[i]].decode() for i in some]), strict=True):
-                found[i] = self.known[keys[i]] = ids
+        texts = [raw[begin[i] : end[i]].decode() for i in missing]
+        last = ends[first[missing]]
+        closed = (data[last - 1] > 32) & (data[last - 1] < 127) | _letter_before(data, last)
+        for i, ids in zip(missing, self._encoded_runs(texts, space[starts[first[missing]]] & closed), strict=True):
+            found[i] = self.known[keys[i]] = ids
         sizes = np.array([len(ids) // self.kind.itemsize for ids in found], np.int64)
         flat = np.frombuffer(b"".join(found), self.kind)
         before = np.concatenate([[0], np.cumsum(sizes)])
-        of = of.reshape(-1)
         each = sizes[of]
         upto = np.concatenate([[0], np.cumsum(each)])
         take = np.repeat(before[of] - upto[:-1], each) + np.arange(upto[-1])
