@@ -551,7 +551,7 @@ def _write_exports(spark: SparkSession, sf_dir: str, label: str) -> str:
     other = ["c_name", "c_nationkey", "c_custkey"]
     segment = F.col("c_mktsegment")
     groups = [(segment == s, columns) for s, columns in layouts.items()]
-    groups.append((~segment.isin(*layouts), other))
+    groups.append((segment.isNull() | ~segment.isin(*layouts), other))
     for condition, columns in groups:
         rows = customers.filter(condition).withColumn("c_name", F.concat(F.lit('the "'), "c_name", F.lit('",\nfirst')))
         rows.select(*columns).write.mode("append").csv(folder, header=True, quote='"', escape='"')

@@ -13,6 +13,12 @@ from .session import get_session
 from .streaming.incremental import rebuild_if_changed
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, by Spark's own file systems."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> bool:
     """Build the warehouse and print its report; False if nothing had changed."""
     parser = argparse.ArgumentParser(prog="tallyhouse", description="Refresh the warehouse from its input files.")
@@ -38,7 +44,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         return True
     warehouse = Warehouse(spark, root)
     warehouse.create_layers()
-    watched = [p for p in (inputs.exports, inputs.menu, inputs.price_sheet) if p]
+    # a sheet that is not there yet counts as added when it comes
+    watched = [p for p in (inputs.exports, inputs.menu, inputs.price_sheet) if p and _exists(spark, p)]
     return rebuild_if_changed(warehouse, watched, run)
 
 

@@ -124,20 +124,26 @@ def _with_price(lines: DataFrame, found: DataFrame) -> DataFrame:
     return lines.join(prices, "item_no", "left")
 
 
+def _of_orders(lines: DataFrame, open_orders: DataFrame) -> DataFrame:
+    """Lines of open orders; a missing order id is an order too."""
+    ids = open_orders.select(F.col("order_id").alias("_open"))
+    return lines.join(ids, F.col("order_id").eqNullSafe(F.col("_open")), "left_semi")
+
+
 def _derived(bills: _Bills, known: DataFrame) -> DataFrame | None:
     """Solve bills with one unpriced line, round by round, until none is left.
 
     All items solved in a round become known together. Lines leave the state
-    once priced, and orders once solved, so a round costs what is still open;
-    lines are stored per round and the prices of a round joined to them, which
-    broadcasts only if the stored prices are measured to be small.
+    once priced or when their order is not open, so a round costs what is still
+    open; the prices of a round are joined to the lines once and stored with
+    them, which broadcasts only if they are measured to be small.
     """
     solved: list[DataFrame] = []
     found = known
-    lines = bills.lines
     open_orders = bills.totals.select("order_id", "bill", "order_seq")
+    lines = _of_orders(bills.lines, open_orders)
     while True:
-        priced = _with_price(lines, found)
+        priced = stage(_with_price(lines, found), "price-lines")
         state = stage(_round(priced, open_orders), "price-state")
         known_part = F.coalesce(from_cents(F.col("known_cents"), F.col("known_rest")), F.lit(0.0))
         value = (F.col("bill") - known_part) / F.col("quantity")
@@ -152,7 +158,7 @@ def _derived(bills: _Bills, known: DataFrame) -> DataFrame | None:
         )
         if open_orders.isEmpty():
             break
-        lines = stage(priced.filter("price is null").select("order_id", "item_no", "quantity"), "price-lines")
+        lines = _of_orders(priced.filter("price is null").select("order_id", "item_no", "quantity"), open_orders)
     return reduce(DataFrame.unionByName, solved) if solved else None
 
 
@@ -218,10 +224,14 @@ def item_prices(
 
 
 def last_menu_price(menu: DataFrame) -> DataFrame:
-    """List price per name; of several rows the last in file order that has one."""
+    """List price per name; of several rows the last in file order that has one.
+
+    ``_row_seq`` holds the file order. A menu without it is taken in the order it is read.
+    """
+    at = F.col("_row_seq") if "_row_seq" in menu.columns else F.monotonically_increasing_id()
     return (
-        menu.filter(F.col("list_price").isNotNull())
-        .withColumn("_at", F.monotonically_increasing_id())
+        menu.withColumn("_at", at)
+        .filter(F.col("list_price").isNotNull())
         .groupBy("item_name")
         .agg(F.max_by("list_price", "_at").alias("list_price"))
     )

@@ -1,4 +1,7 @@
-"""Weekly sales, items, customers and operations: the answer tables."""
+"""Weekly sales, items, customers and operations: the answer tables.
+
+Sorts end with the group's keys, so that equal values can be cut into ranges.
+"""
 
 from __future__ import annotations
 
@@ -32,7 +35,7 @@ def weekly_sales(orders: DataFrame) -> DataFrame:
             exact_avg(_delivered(F.col("total"))).alias("avg_order_value"),
             exact_avg(F.col("rating")).alias("avg_rating"),
         )
-        .orderBy(F.asc_nulls_last("week_start"))
+        .orderBy(F.asc_nulls_last("week_start"), *_RESTAURANT)
     )
 
 
@@ -43,7 +46,7 @@ def item_performance(items: DataFrame, orders: DataFrame) -> DataFrame:
         .join(orders.select("order_id", *_RESTAURANT), "order_id")
         .groupBy(*_RESTAURANT, "item_name")
         .agg(F.count(F.lit(1)).alias("times_ordered"), F.sum("quantity").alias("total_qty"))
-        .orderBy(F.desc_nulls_last("total_qty"))
+        .orderBy(F.desc_nulls_last("total_qty"), *_RESTAURANT, "item_name")
     )
 
 
@@ -59,7 +62,7 @@ def customer_summary(orders: DataFrame) -> DataFrame:
             F.max("order_placed_at").alias("last_order_at"),
             exact_avg(F.col("rating")).alias("avg_rating_given"),
         )
-        .orderBy(F.desc_nulls_last("total_spend"))
+        .orderBy(F.desc_nulls_last("total_spend"), *_RESTAURANT, "customer_id")
     )
 
 
@@ -74,7 +77,7 @@ def ops_quality(orders: DataFrame) -> DataFrame:
             (cancelled / F.count(F.lit(1)).cast("double")).alias("cancellation_rate"),
             F.count("customer_complaint_tag").alias("complaint_count"),
         )
-        .orderBy(F.asc_nulls_last("week_start"))
+        .orderBy(F.asc_nulls_last("week_start"), *_RESTAURANT)
     )
 
 
@@ -117,7 +120,7 @@ def stock_sold_vs_wasted(moves: DataFrame, batches: DataFrame, skip_undone: bool
         per_batch.join(batches.select(F.col("id").alias("batch_id"), "sku"), "batch_id")
         .groupBy("sku")
         .agg(F.sum("_sold").alias("sold"), F.sum("_wasted").alias("wasted"))
-        .orderBy(F.desc_nulls_last("sold"))
+        .orderBy(F.desc_nulls_last("sold"), "sku")
     )
 
 

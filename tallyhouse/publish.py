@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 LAYERS = ["bronze", "silver", "gold", "d1"]
 
 
+def _kinds(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
 @dataclass
 class Warehouse:
     """Tables below ``root``, registered in the session catalog."""
@@ -35,6 +39,8 @@ class Warehouse:
 
         The rows go to a new folder first and the name moves to it only when
         the write has succeeded; a job that fails leaves the old table alone.
+        The name is there all the time, unless the columns have changed: then
+        the table is dropped and made anew.
         Rows are counted during the write. Readers of the old table keep their
         files; folders of earlier builds are for the operator to remove.
         """
@@ -42,8 +48,12 @@ class Warehouse:
         path = f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
         written = Observation()
         df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(name, path, "parquet", df.schema)
+        if self.exists(name) and _kinds(self.table(name)) == _kinds(df):
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            self.spark.catalog.refreshTable(name)
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.catalog.createTable(name, path, "parquet", df.schema)
         self.note(name, written.get["rows"], note)
         return self.table(name)
 

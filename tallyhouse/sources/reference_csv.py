@@ -13,12 +13,23 @@ from ..schemas import MENU_COLUMNS, SHEET_NUMBERS
 
 
 def read_menu(spark: SparkSession, path: str) -> DataFrame:
-    """Menu items by position of the declared columns; a bad value stops the job."""
+    """Menu items by position of the declared columns, and ``_row_seq``; a bad value stops the job."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name, _ in MENU_COLUMNS])
     rows = spark.read.schema(schema).csv(
         path, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST"
     )
-    return rows.select(*[F.col(name).cast(kind).alias(name) for name, kind in MENU_COLUMNS])
+    typed = [_strict(name, kind).alias(name) for name, kind in MENU_COLUMNS]
+    return rows.select(*typed, F.monotonically_increasing_id().alias("_row_seq"))
+
+
+def _strict(name: str, kind: str) -> Column:
+    """A cast that stops the job at what is not a value, whatever the session's settings."""
+    text = F.col(name)
+    if kind == "string":
+        return text
+    value = to_double(text) if kind == "double" else text.try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"menu: {name} cannot be "), text))
+    return F.when(text.isNull() | value.isNotNull(), value).otherwise(bad.cast(kind))
 
 
 def sheet_from_text(rows: DataFrame, seq: str) -> DataFrame:

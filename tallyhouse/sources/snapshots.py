@@ -42,14 +42,29 @@ def _holds_documents_per_line(spark: SparkSession, path: str) -> bool:
     return not per_file.filter("lines > 1 and lines = objects").isEmpty()
 
 
+def _one_document_each(spark: SparkSession, path: str, one_per_line: bool) -> bool:
+    """Whether each file, or each line, is one JSON value from end to end.
+
+    In brackets, one value is a list of one; two are a longer list or no JSON at all.
+    """
+    texts = spark.read.text(path, wholetext=not one_per_line).filter(F.trim(F.regexp_replace("value", r"\s", " ")) != "")
+    listed = texts.select(F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))).alias("v"))
+    more = F.try_variant_get("v", "$[1]", "variant").isNotNull()
+    return listed.filter(F.col("v").isNull() | more).isEmpty()
+
+
 def read_envelopes(spark: SparkSession, path: str, schema: str, one_per_line: bool = False) -> DataFrame:
     """Documents of a snapshot: one per file, or one per line.
 
     Spark reads the first document of a file and passes over what follows, so
-    a file with one per line is refused unless it is announced.
+    a file with one per line is refused unless it is announced, and so is a file
+    or line with more than one document.
     """
     if not one_per_line and _holds_documents_per_line(spark, path):
         raise ValueError(f"snapshot refused: {path} has a document per line, read it with one_per_line")
+    if not _one_document_each(spark, path, one_per_line):
+        unit = "line" if one_per_line else "file"
+        raise ValueError(f"snapshot refused: a {unit} of {path} does not hold exactly one document; deliver one per {unit}")
     envelopes = spark.read.schema(schema).json(path, multiLine=not one_per_line)
     if envelopes.select("ok").isEmpty():
         raise ValueError(f"snapshot refused: nothing in {path}")

@@ -65,9 +65,19 @@ def test_gaps(spark):
     assert gaps_of(spark, [(1, 7)]) == []
 
 
-def test_gaps_against_pairwise_scan(spark):
+def test_gaps_leave_no_day_out(spark):
+    """Ranges cut out of a run of days with known holes, in any order and some twice."""
     rng = random.Random(5)
     for _ in range(5):
-        ranges = [(s, s + rng.randint(-4, 6)) for s in (rng.randint(5, 60) for _ in range(25))]
-        want = [(e + 1, s2 - 1) for (_, e), (s2, _) in zip(sorted(ranges), sorted(ranges)[1:]) if s2 > e + 1]
-        assert gaps_of(spark, ranges) == sorted(want)
+        at, ranges, holes = 1, [], []
+        for _ in range(20):
+            length, hole = rng.randint(1, 6), rng.choice([0, 0, 1, 4])
+            ranges.append((at, at + length - 1))
+            at += length
+            if hole:
+                holes.append((at, at + hole - 1))
+                at += hole
+        ranges.append((at, at))
+        shuffled = ranges + rng.sample(ranges, 5)
+        rng.shuffle(shuffled)
+        assert gaps_of(spark, shuffled) == holes
