@@ -60,40 +60,58 @@ def _repeats(windows: Column) -> Column:
     return F.size(F.array_distinct(windows)) < F.size(windows)
 
 
-def _covered(windows: Column) -> Column:
-    """Words that lie in a window found twice or more."""
-    placed = F.array_sort(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+PLACED = "array<struct<w:bigint,i:int>>"
+
+
+def _placed(windows: Column) -> Column:
+    """Windows with their places, equal ones together; nothing where no window occurs twice."""
+    both = F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))).cast(PLACED)
+    return F.when(_repeats(windows), F.sort_array(both)).otherwise(F.array().cast(PLACED))
+
+
+def _repeat_places(placed: Column) -> Column:
+    """Places, in order, of windows that occur twice or more."""
     nothing = F.array(F.lit(None).cast("struct<w:bigint,i:int>"))
     ahead = F.zip_with(placed, F.concat(nothing, placed), lambda x, y: F.struct(x.alias("x"), (x["w"] == y["w"]).alias("before")))
     both = F.zip_with(
         ahead, _from(placed, 2),
         lambda p, z: F.when(F.coalesce(p["before"], F.lit(False)) | F.coalesce(p["x"]["w"] == z["w"], F.lit(False)), p["x"]["i"]),
     )
-    places = F.sort_array(F.filter(both, lambda i: i.isNotNull()))
+    return F.sort_array(F.filter(both, lambda i: i.isNotNull()))
+
+
+def _covered(places: Column) -> Column:
+    """Words that lie in a window of three at one of the places."""
     steps = F.zip_with(places, _from(places, 2), lambda i, j: F.coalesce(F.least(j - i, F.lit(3)), F.lit(3)))
     return F.aggregate(steps, F.lit(0).cast("long"), lambda total, n: total + n)
 
 
+def _computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that no later filter or projection computes again: it comes out of a generator."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def measure(docs: DataFrame) -> DataFrame:
     """``docs`` with the measurements of every rule; columns of these names are replaced."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
-    return (
-        docs.withColumn("_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-        .withColumn("_lines", lines)
-        .withColumns(
-            {
-                "n_words": F.size("_words").cast("long"),
-                "word_chars": F.length(F.translate(text, SPACE, "")).cast("long"),
-                "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
-                "n_lines": F.size("_lines").cast("long"),
-                "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-                "_windows": _window_hashes(F.transform("_words", lambda w: F.xxhash64(w))),
-            }
-        )
-        .withColumn("n_repeat_words", F.when(_repeats(F.col("_windows")), _covered(F.col("_windows"))).otherwise(0).cast("long"))
-        .drop("_words", "_lines", "_windows")
-    )
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    parts = _computed_once(docs, "_parts", F.struct(words.alias("words"), lines.alias("lines")))
+    words, lines = F.col("_parts.words"), F.col("_parts.lines")
+    hashed = _computed_once(parts, "_hashes", F.transform(words, lambda w: F.xxhash64(w)))
+    windows = _computed_once(hashed, "_windows", _window_hashes(F.col("_hashes")))
+    placed = _computed_once(windows, "_placed", _placed(F.col("_windows")))
+    places = _computed_once(placed, "_places", _repeat_places(F.col("_placed")))
+    found = {
+        "n_words": F.size(words),
+        "word_chars": F.length(F.translate(text, SPACE, "")),
+        "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")),
+        "n_lines": F.size(lines),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_repeat_words": _covered(F.col("_places")),
+    }
+    measured = _computed_once(places, "_measured", F.struct(*[c.cast("long").alias(n) for n, c in found.items()]))
+    return measured.withColumns({n: F.col(f"_measured.{n}") for n in found}).drop("_parts", "_hashes", "_windows", "_placed", "_places", "_measured")
 
 
 def ledger(docs: DataFrame) -> DataFrame:
