@@ -596,7 +596,7 @@ def menu_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("unit_cost"),
         (F.col("p_size") < 40).alias("active"),
     ).write.csv(path, header=True, quote='"', escape='"')
-    return reference_csv.read_menu(spark, path)
+    return reference_csv.read_menu(spark, path).drop("_row_seq")
 
 
 @_query(
