@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
-from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import EXPORT_FILE_DATE, EXPORT_FILE_PATTERN
-from .large_csv import read_large_csv
+from ..staging import stage
+from .csv_records import read_lines, read_records, read_splits
 
-# Row numbers within a file take the low bits of the sequence number, the rank
-# of the file in name order the high ones.
-_ROW_BITS = 38
-# Spark's ids: number of the partition above, of the row within it below.
-_ID_BITS = 33
-
-# Files above this size are read by several tasks.
-LARGE_FILE = 1 << 30
+# Lines take 18 digits of a row's number and its file's rank 19 more: both are
+# 64-bit numbers that no count of lines or files comes near.
+_RANK_UNIT = 10**18
 
 
 def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
@@ -70,100 +65,55 @@ def unique_names(header: list[str]) -> list[str]:
     return names
 
 
-def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The one function that runs in Python workers. It is an inner function that
-    imports what it needs, so it travels by value: workers need not have this package."""
-
-    def read(batches):
-        import csv
-        import io
-        from urllib.parse import unquote
-
-        from pyarrow import fs
+def _names(header: str) -> list[str]:
+    return unique_names(next(csv.reader(io.StringIO(header.removeprefix("\ufeff"), newline="")), []))
 
-        for batch in batches:
-            headers = []
-            for uri in batch["file_path"]:
-                scheme, _, rest = uri.partition(":")
-                if scheme == "file":
-                    filesystem, path = fs.LocalFileSystem(), "/" + unquote(rest).lstrip("/")
-                else:
-                    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-                    filesystem, path = fs.FileSystem.from_uri(f"{scheme}:{rest}")
-                with filesystem.open_input_stream(path) as raw:
-                    text = io.TextIOWrapper(io.BufferedReader(raw), encoding="utf-8-sig", newline="")
-                    headers.append(next(csv.reader(text), []))
-            yield batch.assign(header=headers)
 
-    return read
+def _literal(path: str) -> str:
+    """A path as a pattern that matches it alone."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def read_headers(files: DataFrame) -> DataFrame:
-    """``path, file_path, length, header`` per file; the tasks read the first record only."""
-    # An explicit number, or AQE would merge these tiny rows into one task.
-    tasks = max(1, min(files.count(), files.sparkSession.sparkContext.defaultParallelism))
-    return (
-        files.select("path", "file_path", "length")
-        .repartition(tasks)
-        .mapInPandas(_header_reader(), "path string, file_path string, length bigint, header array<string>")
-    )
-
-
-def _read_csv(spark: SparkSession, where: str | list[str], header: tuple[str, ...]) -> DataFrame:
-    return (
-        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in header]))
-        .option("pathGlobFilter", "*.csv")
-        .csv(where, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST")
-        .select(
-            *[F.col(f"`{name}`") for name in header],
-            F.col("_metadata.file_path").alias("_source_file"),
-            # Quoted line breaks keep a file in one piece, so ids follow its rows.
-            F.monotonically_increasing_id().bitwiseAND((1 << _ID_BITS) - 1).alias("_row"),
-        )
-    )
-
-
-def read_exports(
-    spark: SparkSession,
-    folder: str,
-    paths: list[str] | None = None,
-    first_rank: int = 0,
-    large_file: int = LARGE_FILE,
-) -> DataFrame:
+def read_exports(spark: SparkSession, folder: str, paths: list[str] | None = None, first_rank: int = 0) -> DataFrame:
     """All export files as text columns, united by column name.
 
-    Spark maps the columns of several CSV files by position, so files are read
-    in groups of equal headers, one scan per distinct header, and the groups
-    united by name. Adds ``_source_file``, ``_loaded_at`` and ``_row_seq``, a
-    number that follows file name and then row order. ``paths`` limits the read
-    to some of the files in ``folder``, which are ranked from ``first_rank`` on.
-    Files above ``large_file`` bytes are split over tasks.
+    Files of every size go through one reader, which splits them over tasks;
+    its module states the format. Records are parsed by the header of their
+    file; the driver sees the distinct headers only. Adds ``_source_file``,
+    ``_loaded_at`` and ``_row_seq``, a number that follows file name and then
+    row order. ``paths`` reads these files only, ranked from ``first_rank`` on.
+    A record with another number of cells than its header stops the job.
     """
-    files = list_files(spark, folder)
-    if paths is not None:
-        wanted = spark.createDataFrame([(p,) for p in paths], "file_path string")
-        files = files.join(wanted, "file_path", "left_semi")
-    # File names and headers only: the driver lists the files of a scan anyway.
-    found = sorted(read_headers(files).collect(), key=lambda r: r.file_path)
-    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for r in found:
-        if r.header:
-            literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", r.path)
-            groups.setdefault((tuple(unique_names(r.header)), r.length > large_file), []).append(literal)
-    if not groups:
-        raise FileNotFoundError(f"no export with a header in {folder}")
-    ranks = spark.createDataFrame(
-        [(r.file_path, rank) for rank, r in enumerate(found, first_rank)], "_source_file string, _file_rank bigint"
+    lines = read_lines(spark, folder if paths is None else [_literal(p) for p in paths])
+    splits = stage(read_splits(lines), "export-splits")
+    in_header = (F.col("split") == 0) & (F.col("starts") == 1)
+    unclosed = splits.filter((F.col("left_open") == 1) & (F.col("is_last") | in_header))
+    if bad := unclosed.select("file").first():
+        raise ValueError(f"a quoted cell is not closed in {bad.file}")
+    heads = splits.filter(F.col("header") != "").select(
+        "file", "header", (F.row_number().over(Window.orderBy("file")) + F.lit(first_rank - 1)).alias("rank")
     )
-    united = None
-    for (header, large), members in groups.items():
-        # One kind of file in the whole folder: let Spark list it.
-        where = folder if paths is None and len(members) == len(found) else members
-        rows = read_large_csv(spark, members, list(header)) if large else _read_csv(spark, where, header)
-        united = rows if united is None else united.unionByName(rows, allowMissingColumns=True)
+    headers = heads.groupBy("header").agg(F.min("rank").alias("rank")).orderBy("rank").collect()
+    if not headers:
+        raise FileNotFoundError(f"no export with a header in {folder}")
+    # Names that differ in case only are one column.
+    columns: dict[str, tuple[str, list[Column]]] = {}
+    parsed = {}
+    for n, row in enumerate(headers):
+        names = _names(row.header)
+        fields = ", ".join(f"c{i} string" for i in range(len(names)))
+        cells = F.from_csv("value", fields, {"quote": '"', "escape": '"', "mode": "FAILFAST", "multiLine": "true"})
+        parsed[f"_h{n}"] = F.when(F.col("header") == row.header, cells)
+        for i, name in enumerate(names):
+            columns.setdefault(name.lower(), (name, []))[1].append(F.col(f"_h{n}.c{i}"))
     return (
-        united.join(ranks, "_source_file", "left")
-        .withColumn("_row_seq", F.shiftleft("_file_rank", _ROW_BITS) + F.col("_row"))
-        .withColumn("_loaded_at", F.current_timestamp())
-        .drop("_file_rank", "_row")
+        read_records(lines, splits)
+        .join(heads, "file")
+        .select("file", "rank", "line", *[cells.alias(name) for name, cells in parsed.items()])
+        .select(
+            *[F.coalesce(*cells).alias(name) for name, cells in columns.values()],
+            F.col("file").alias("_source_file"),
+            (F.col("rank").cast("decimal(19,0)") * F.lit(_RANK_UNIT).cast("decimal(19,0)") + F.col("line")).alias("_row_seq"),
+            F.current_timestamp().alias("_loaded_at"),
+        )
     )

@@ -1,10 +1,7 @@
 import csv
 import datetime as dt
 import json
-import os
 import random
-import subprocess
-import sys
 
 import duckdb
 import pytest
@@ -52,45 +49,68 @@ def test_row_numbers_follow_files_and_rows(spark, tmp_path):
     assert got == [f"a{i}" for i in range(20)] + [f"b{i}" for i in range(500)] + [f"c{i}" for i in range(100)]
 
 
-def test_large_files_are_split(spark, tmp_path):
+@pytest.fixture
+def split_size(spark):
+    """Sets the size of splits; Spark reads it when a job runs."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    yield lambda size: spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_large_files_are_split(spark, tmp_path, split_size, line_end):
     """Random cells with quotes and line breaks, cut every few bytes, against the csv module."""
     rng = random.Random(11)
-    words = ["a", "bb", "", 'say "hi"', "x,y", "line\nbreak", '"', "\n", '\n"\n', "é⭐️", "back\\slash"]
+    words = ["a", "bb", "", 'say "hi"', "x,y", f"line{line_end}break", '"', line_end, f'{line_end}"{line_end}', "é⭐️", "back\\slash", '",",', '"""']
     want = []
     for name in ("a.csv", "b.csv"):
         data = [[f"{name}{i}", rng.choice(words), rng.choice(words)] for i in range(120)]
         with open(tmp_path / name, "w", newline="") as f:
-            csv.writer(f, lineterminator="\n").writerows([["id", 'B "x"', "C\nd"], *data])
+            csv.writer(f, lineterminator=line_end).writerows([["id", 'B "x"', "C`d"], *data])
         want += data
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "61")
-    try:
-        rows = exports.read_exports(spark, str(tmp_path), large_file=0)
-        got = [list(r)[:3] for r in rows.select("id", '`B "x"`', "`C\nd`", "_row_seq").orderBy("_row_seq").collect()]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert got == [[c or None for c in row] for row in want]
-    whole = exports.read_exports(spark, str(tmp_path)).select("id", '`B "x"`', "`C\nd`").collect()
-    assert sorted(map(repr, whole)) == sorted(repr(r) for r in rows.select("id", '`B "x"`', "`C\nd`").collect())
-
-
-def test_large_files_with_windows_line_ends(spark, tmp_path, rows):
-    (tmp_path / "a.csv").write_bytes(b'A,B\r\n1,"x\ny"\r\n\r\n2,z\r\n')
-    for limit in (0, exports.LARGE_FILE):
-        assert rows(exports.read_exports(spark, str(tmp_path), large_file=limit), "A", "B") == [("1", "x\ny"), ("2", "z")]
-    (tmp_path / "b.csv").write_bytes(b"A,B\n1,2,3\n")
-    with pytest.raises(Exception, match="MALFORMED|Malformed"):
-        exports.read_exports(spark, str(tmp_path), large_file=0).select("A", "B").collect()
+    for size in (61, 1000, 1 << 27):
+        split_size(size)
+        rows = exports.read_exports(spark, str(tmp_path))
+        got = [list(r)[:3] for r in rows.select("id", '`B "x"`', "`C``d`", "_row_seq").orderBy("_row_seq").collect()]
+        assert got == [[c or None for c in row] for row in want]
+
+
+STRAY = ["id,size", '1,7in 5" pizza', '2,"a ""b"""', '3,"x" y', '4, "z', '5,it\'s "so", '.rstrip(", "), '6,"p', 'q"', "7,w"]
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n", "\r"])
+def test_one_answer_for_every_split_size(spark, tmp_path, split_size, line_end):
+    """Quotes inside unquoted cells, all kinds of line ends, and blank lines."""
+    text = line_end + line_end.join(STRAY[:4]) + line_end * 3 + line_end.join(STRAY[4:])
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    want = [("1", '7in 5" pizza'), ("2", 'a "b"'), ("3", '"x" y'), ("4", ' "z'), ("5", 'it\'s "so"'), ("6", f"p{line_end}q"), ("7", "w")]
+    for size in (7, 20, 1 << 27):
+        split_size(size)
+        got = exports.read_exports(spark, str(tmp_path))
+        assert got.count() == 7
+        assert [tuple(r) for r in got.orderBy("_row_seq").select("id", "size").collect()] == want
+
+
+def test_same_rows_as_duckdb(spark, tmp_path, rows):
+    write(tmp_path, "a.csv", 'A,B\n1,7in 5" pizza\n2,"x\ny"\n')
+    write(tmp_path, "b.csv", 'B,C`d\n"say ""hi"", you",q\n,r\n')
+    read = f"read_csv('{tmp_path}/*.csv', all_varchar = true, union_by_name = true, header = true, delim = ',', quote = '\"', escape = '\"', strict_mode = false)"
+    want = sorted(map(repr, duckdb.sql(f"SELECT A, B, \"C`d\" FROM {read}").fetchall()))
+    assert sorted(repr(tuple(r)) for r in exports.read_exports(spark, str(tmp_path)).select("A", "B", "`C``d`").collect()) == want
+
 
+def test_long_lines_and_cells(spark, tmp_path):
+    """Patterns neither recurse nor backtrack on many cells or quotes."""
+    many = ",".join(f"c{i}" for i in range(5000))
+    write(tmp_path, "a.csv", f'{many}\n"{"" * 3}{chr(34) * 200_000}"{"," * 4999}\n')
+    got = exports.read_exports(spark, str(tmp_path)).select("c0").collect()
+    assert [len(r.c0) for r in got] == [100_000]
 
-def test_header_reader_travels_by_value(tmp_path):
-    """Workers of a cluster do not have this package."""
-    from pyspark import cloudpickle
 
-    (tmp_path / "f").write_bytes(cloudpickle.dumps(exports._header_reader()))
-    code = "import pickle; pickle.load(open('f', 'rb')); import importlib.util as u; assert not u.find_spec('tallyhouse')"
-    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, check=True)
+def test_unclosed_cells_are_refused(spark, tmp_path):
+    write(tmp_path, "a.csv", 'A,B\n1,"x\n2,y\n')
+    with pytest.raises(ValueError, match="not closed in .*a.csv"):
+        exports.read_exports(spark, str(tmp_path))
 
 
 def test_repeated_and_blank_headers():
