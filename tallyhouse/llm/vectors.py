@@ -7,13 +7,16 @@ all. A pair within the budget is within the share of one block at least, so the
 union of the blocks' range joins has every pair. A candidate is verified on the
 vectors as given, in double precision.
 
-The range join of a block is on its first coordinate: the vectors are cut into
-slabs of about ``SLAB`` rows at quantiles, and only slabs that are no further
-apart than the block's radius meet. A task compares two slabs, so its memory is
-bounded however many vectors a region holds. It returns, per vector, the number
-of its links, and enough links to keep the found components together, so its
-output does not grow with the square of a group. A pair is counted in the first
-block in which it is close.
+The range join of a block cuts its space into cells: a tree of splits, each at
+the median of the coordinate that is most spread out there. A vector meets the
+cells that its ball of the block's radius reaches, so each further split
+coordinate leaves fewer of them. Only the places of the splits come from a
+sample of at most ``SAMPLE`` vectors; every vector is counted and dealt out. A
+cell that holds more than ``SLAB`` vectors is cut into slabs by number. A task
+compares two slabs, so its memory is bounded however many vectors a region
+holds. It returns, per vector, the number of its links, and enough links to keep
+the found components together, so its output does not grow with the square of a
+group. A pair is counted in the first block in which it is close.
 
 Equal vectors are collapsed first and carry their number.
 
@@ -27,11 +30,13 @@ result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.llm.components import roots
 from tallyhouse.staging import stage
@@ -39,6 +44,9 @@ from tallyhouse.staging import stage
 COSINE = 0.95
 BLOCKS = 4
 SLAB = 8192
+#: Vectors whose places decide on the splits, and the least number of them in a cell.
+SAMPLE = 1 << 15
+LEAF = 32
 ROTATION_SEED = 20
 
 
@@ -72,73 +80,162 @@ def distinct_vectors(rows: DataFrame) -> DataFrame:
     return per.agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least_id")).withColumn("node", F.monotonically_increasing_id())
 
 
-def _placed(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per vector its bytes and the first coordinate of each rotated block."""
-    for part in pieces:
-        for size, rows in part.groupby(part["embedding"].map(len)):
-            x = np.array(rows["embedding"].tolist(), float)
-            turned = _unit(x) @ rotation(size)
-            first = turned[:, block_edges(size)[:-1]]
-            yield pd.DataFrame({"node": rows["node"], "n": rows["n"], "size": size, "vec": [v.tobytes() for v in x], "first": list(first)})
+def _turned(rows: pd.DataFrame, size: int) -> np.ndarray:
+    return _unit(np.frombuffer(b"".join(rows["vec"]), rows["kind"].iloc[0]).reshape(-1, size).astype(float)) @ rotation(size)
 
 
-def slab_cuts(placed: DataFrame, slab: int = SLAB) -> dict[tuple[int, int], list[float]]:
-    """Per vector length and block, the coordinates between slabs; one number per ``slab`` vectors and block."""
-    counts = {r["size"]: r["n"] for r in placed.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cuts: dict[tuple[int, int], list[float]] = {}
-    for size, n in counts.items():
-        n_slabs = -(-n // slab)
-        if n_slabs > 1:
-            shares = [i / n_slabs for i in range(1, n_slabs)]
-            blocks = range(len(block_edges(size)) - 1)
-            found = placed.filter(F.col("size") == size).agg(*[F.percentile_approx(F.col("first")[b], shares, 100 * n_slabs).alias(str(b)) for b in blocks]).first()
-            cuts |= {(size, b): sorted(set(found[b])) for b in blocks}
-    return cuts
+def _packed(kind: str):
+    """Per vector its components as bytes, in the width of the table."""
 
-
-def _dealt(cuts: dict, cosine: float):
-    """Sends a vector to the tasks of its slab: with itself, and with every slab within the radius."""
+    def pack(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in pieces:
+            for size, rows in part.groupby(part["embedding"].map(len)):
+                x = np.array(rows["embedding"].tolist(), kind)
+                yield pd.DataFrame({"size": size, "kind": kind, "node": rows["node"], "n": rows["n"], "vec": [v.tobytes() for v in x]})
+
+    return pack
+
+
+@dataclass
+class Cells:
+    """A tree of splits of one block; ``low`` and ``high`` are the next places, or a cell as -1 - number."""
+
+    axis: list[int] = field(default_factory=list)
+    at: list[float] = field(default_factory=list)
+    low: list[int] = field(default_factory=list)
+    high: list[int] = field(default_factory=list)
+    number: int = 0
+    #: Per cell the number of its first slab; one entry more for their sum.
+    slabs: np.ndarray = field(default_factory=lambda: np.array([0, 1]))
+
+    def split(self, points: np.ndarray, leaf: int) -> int:
+        axis = int(points.var(axis=0).argmax()) if len(points) else 0
+        at = float(np.median(points[:, axis])) if len(points) else 0.0
+        above = points[:, axis] >= at
+        if len(points) < 2 * leaf or above.all():
+            self.number += 1
+            return -self.number
+        place = len(self.axis)
+        for values, value in ((self.axis, axis), (self.at, at), (self.low, 0), (self.high, 0)):
+            values.append(value)
+        self.low[place] = self.split(points[~above], leaf)
+        self.high[place] = self.split(points[above], leaf)
+        return place
+
+    def reached(self, points: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of ``points``, cells within the squared distance, and whether it is the row's own cell."""
+        row, place, off = np.arange(len(points)), np.zeros(len(points), int), np.zeros(points.shape)
+        own = np.ones(len(points), bool)
+        if not self.axis:
+            return row, place, own
+        axes, at, low, high = (np.array(v) for v in (self.axis, self.at, self.low, self.high))
+        out = []
+        while len(row):
+            axis = axes[place]
+            gap = points[row, axis] - at[place]
+            near, far = np.where(gap >= 0, high[place], low[place]), np.where(gap >= 0, low[place], high[place])
+            there = off.copy()
+            steps = np.arange(len(row))
+            there[steps, axis] = np.maximum(there[steps, axis], np.abs(gap))
+            # a place on the far side of an earlier split is still entered by its nearer half without further cost
+            goes = (there * there).sum(1) <= budget
+            row, place = np.concatenate([row, row[goes]]), np.concatenate([near, far[goes]])
+            off, own = np.concatenate([off, there[goes]]), np.concatenate([own, np.zeros(int(goes.sum()), bool)])
+            ended = place < 0
+            out.append((row[ended], -1 - place[ended], own[ended]))
+            row, place, off, own = row[~ended], place[~ended], off[~ended], own[~ended]
+        return tuple(np.concatenate(v) for v in zip(*out, strict=True))
+
+
+def _counted(trees: dict[tuple[int, int], Cells]):
+    """The number of vectors per cell, part by part."""
+
+    def count(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in pieces:
+            for size, rows in part.groupby("size"):
+                turned, edges = _turned(rows, size), block_edges(size)
+                for block, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                    _, cells, own = trees[size, block].reached(turned[:, a:b], -1.0)
+                    cell, n = np.unique(cells[own], return_counts=True)
+                    yield pd.DataFrame({"size": size, "block": block, "cell": cell, "n": n})
+
+    return count
+
+
+def cells(packed: DataFrame, slab: int = SLAB, sample: int = SAMPLE, leaf: int = LEAF) -> dict[tuple[int, int], Cells]:
+    """The cells per vector length and block, and their slabs. Their number is bounded by ``sample / leaf``."""
+    trees: dict[tuple[int, int], Cells] = {}
+    for length in packed.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect():
+        size, n = length["size"], length["n"]
+        edges = block_edges(size)
+        chosen = np.zeros((0, size))
+        if n > slab:
+            share = min(1.0, sample / n)
+            chosen = _turned(found, size) if len(found := packed.filter(F.col("size") == size).sample(share, 1).toPandas()) else chosen
+        for block, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            trees[size, block] = Cells()
+            trees[size, block].split(chosen[:, a:b], max(leaf, len(chosen) * slab // (2 * n)))
+    counts = packed.mapInPandas(_counted(trees), "size int, block int, cell int, n long").groupBy("size", "block", "cell")
+    found = {(r["size"], r["block"], r["cell"]): r["n"] for r in counts.agg(F.sum("n").alias("n")).collect()}
+    for (size, block), tree in trees.items():
+        tree.slabs = np.concatenate([[0], np.cumsum([max(1, -(-found.get((size, block, c), 0) // slab)) for c in range(tree.number)])])
+    return trees
+
+
+def _dealt(trees: dict[tuple[int, int], Cells], cosine: float, rows_at_once: int = 1024):
+    """Sends a vector to the tasks of its slab: with itself, and with every slab of the cells within the radius."""
 
     def deal(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in pieces:
-            for size, rows in part.groupby("size"):
-                first = np.array(rows["first"].tolist(), float)
-                for block, reach in enumerate(radii(size, cosine)):
-                    edges = np.array(cuts.get((size, block), []))
-                    x = first[:, block]
-                    home = np.searchsorted(edges, x, side="right")
-                    down = np.searchsorted(edges, x - reach, side="right")
-                    up = np.searchsorted(edges, x + reach, side="right")
-                    for step in range(int((home - down).max(initial=0)) + 1):  # meets the slab that lies so far below
-                        chosen = home - down >= step
-                        yield _tasks(rows[chosen], block, home[chosen] - step, home[chosen], 1)
-                    for step in range(1, int((up - home).max(initial=0)) + 1):
-                        chosen = up - home >= step
-                        yield _tasks(rows[chosen], block, home[chosen], home[chosen] + step, 0)
+            for size, several in part.groupby("size"):
+                for at in range(0, len(several), rows_at_once):
+                    rows = several.iloc[at : at + rows_at_once]
+                    turned, edges, node = _turned(rows, size), block_edges(size), rows["node"].to_numpy()
+                    for block, reach in enumerate(radii(size, cosine)):
+                        slabs = trees[size, block].slabs
+                        row, cell, own = trees[size, block].reached(turned[:, edges[block] : edges[block + 1]], reach**2 + 2e-9)
+                        parts = np.diff(slabs)
+                        home = np.zeros(len(rows), int)
+                        home[row[own]] = slabs[cell[own]] + node[row[own]] % parts[cell[own]]
+                        each = np.repeat(np.arange(len(row)), parts[cell])
+                        row, slab = row[each], slabs[cell[each]] + np.arange(len(each)) - np.repeat(np.cumsum(parts[cell]) - parts[cell], parts[cell])
+                        low, high = np.minimum(home[row], slab), np.maximum(home[row], slab)
+                        yield rows.iloc[row].assign(block=block, low=low, high=high, is_high=(home[row] > slab).astype(int))[TASK_COLUMNS]
 
     return deal
 
 
-def _tasks(rows: pd.DataFrame, block: int, low: np.ndarray, high: np.ndarray, is_high: int) -> pd.DataFrame:
-    return pd.DataFrame({"size": rows["size"], "block": block, "low": low, "high": high, "is_high": is_high, "node": rows["node"], "n": rows["n"], "vec": rows["vec"]})
+TASK = "size int, kind string, block int, low int, high int, is_high int, node long, n long, vec binary"
+TASK_COLUMNS = [c.split()[0] for c in TASK.split(", ")]
 
 
 class _Sets:
     """Joins numbers into sets and keeps the links that joined any."""
 
     def __init__(self, n: int):
-        self.parent, self.kept = list(range(n)), []
-
-    def find(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = i = self.parent[self.parent[i]]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        a, b = self.find(i), self.find(j)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-            self.kept.append((i, j))
+        self.label, self.kept = np.arange(n), []
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        a, b = self.label[i], self.label[j]
+        new = np.flatnonzero(a != b)
+        if not len(new):
+            return
+        pairs, first = np.unique(a[new] * len(self.label) + b[new], return_index=True)
+        parent = np.arange(len(self.label))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for pair, at in zip(pairs.tolist(), new[first].tolist(), strict=True):
+            x, y = (find(v) for v in divmod(pair, len(self.label)))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                self.kept.append((int(i[at]), int(j[at])))
+        while (parent != parent[parent]).any():
+            parent = parent[parent]
+        self.label = parent[self.label]
 
 
 def _compared(cosine: float, rows_at_once: int = 512):
@@ -148,7 +245,7 @@ def _compared(cosine: float, rows_at_once: int = 512):
         size, block = int(rows["size"].iloc[0]), int(rows["block"].iloc[0])
         same = rows["low"].iloc[0] == rows["high"].iloc[0]
         rows = rows.sort_values("node", ignore_index=True)
-        x = np.frombuffer(b"".join(rows["vec"]), float).reshape(-1, size)
+        x = np.frombuffer(b"".join(rows["vec"]), rows["kind"].iloc[0]).reshape(-1, size).astype(float)
         unit, edges, reach = _unit(x), block_edges(size), radii(size, cosine)
         turned = unit @ rotation(size)
         node, n = rows["node"].to_numpy(), rows["n"].to_numpy()
@@ -168,14 +265,13 @@ def _compared(cosine: float, rows_at_once: int = 512):
                 p, q = a[lo : lo + (1 << 16)], b[lo : lo + (1 << 16)]
                 good = (unit[p] * unit[q]).sum(1) >= cosine
                 p, q = p[good], q[good]
-                for earlier in range(block):
-                    gap = turned[p, edges[earlier] : edges[earlier + 1]] - turned[q, edges[earlier] : edges[earlier + 1]]
-                    new = (gap * gap).sum(1) > reach[earlier] ** 2
-                    p, q = p[new], q[new]
+                for of in range(block + 1):  # close in this block and in none before
+                    gap = turned[p, edges[of] : edges[of + 1]] - turned[q, edges[of] : edges[of + 1]]
+                    close = (gap * gap).sum(1) <= reach[of] ** 2
+                    p, q = p[close == (of == block)], q[close == (of == block)]
                 np.add.at(links, p, n[q])
                 np.add.at(links, q, n[p])
-                for s, t in zip(p.tolist(), q.tolist(), strict=True):
-                    sets.join(s, t)
+                sets.join(p, q)
         counted = np.flatnonzero(links)
         kept = np.array(sets.kept, int).reshape(-1, 2)
         return pd.DataFrame(
@@ -191,10 +287,9 @@ def _compared(cosine: float, rows_at_once: int = 512):
 
 def links(vectors: DataFrame, cosine: float = COSINE, slab: int = SLAB) -> DataFrame:
     """Per task and node its ``links`` (``a`` = ``b``), and links ``a``, ``b`` that hold the components together."""
-    placed = stage(vectors.mapInPandas(_placed, "node long, n long, size int, vec binary, first array<double>"), "vectors-placed")
-    tasks = placed.mapInPandas(
-        _dealt(slab_cuts(placed, slab), cosine), "size int, block int, low int, high int, is_high int, node long, n long, vec binary"
-    )
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType == T.FloatType() else "<f8"
+    packed = stage(vectors.select("node", "n", "embedding").mapInPandas(_packed(kind), "size int, kind string, node long, n long, vec binary"), "vectors-packed")
+    tasks = packed.mapInPandas(_dealt(cells(packed, slab), cosine), TASK)
     return tasks.groupBy("size", "block", "low", "high").applyInPandas(_compared(cosine), "a long, b long, links long")
 
 
