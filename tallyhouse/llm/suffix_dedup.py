@@ -294,6 +294,7 @@ def _repeats(contexts: DataFrame, least: int, shard: int, widths: tuple[int, ...
     """``c1``, ``c2`` and the ranges of starts in them that are repeated, for keys of several distinct contexts."""
     n_bytes = F.length("context")
     per = contexts.groupBy("key").agg(F.sum(n_bytes).alias("n_bytes"), F.count(F.lit(1)).alias("m")).filter(F.col("m") > 1)
+    per = stage(per, "suffix-sizes")
     sized = contexts.join(per, "key")
     small = sized.filter(F.col("n_bytes") <= shard) if widths else sized
     total = per.filter(F.col("n_bytes") <= shard).agg(F.sum("n_bytes")).first()[0] or 0
@@ -308,7 +309,7 @@ def _repeats(contexts: DataFrame, least: int, shard: int, widths: tuple[int, ...
     )
     narrow = stage(distinct.select(*CONTEXT), "suffix-narrowed")
     inner = _whole(narrow).unionByName(_repeats(narrow, least, shard, widths[1:]))
-    inner = inner.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), "first", "last").distinct()
+    inner = stage(inner.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), "first", "last").distinct(), "suffix-inner")
     back = pieces.select("c1", "c2", "off", "d1", "d2").join(inner, ["d1", "d2"])
     return found.unionByName(back.select("c1", "c2", (F.col("off") + F.col("first")).alias("first"), (F.col("off") + F.col("last")).alias("last")))
 
@@ -346,7 +347,8 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, shard: int = SHARD, widt
     """One row per document: its bytes, the removed byte ranges ``spans``, their sum and number, and the hash of what is kept."""
     texts = docs.select("doc_id", *_text_key(), "text")
     units = stage(texts.select("t1", "t2", "text").mapInArrow(_units(least), UNIT), "suffix-units")
-    shared = units.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key")
+    # written first: a join that meets a grouped side in the same stage could not split a frequent anchor
+    shared = stage(units.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key"), "suffix-keys")
     shared = stage(units.join(shared, "key"), "suffix-shared")
     # all occurrences of a context are equal, so any may lend its bytes
     lender = F.min(F.struct("t1", "t2", "start", "size", "ahead")).alias("lender")
