@@ -49,8 +49,10 @@ def _single_blanks(text: Column) -> Column:
 
 
 def order_time(text: Column) -> Column:
-    """Export order time; bad text stops the job."""
-    return F.to_timestamp_ntz(_single_blanks(text), F.lit(ORDER_TIME_FORMAT))
+    """Export order time; bad text stops the job, whatever the session's settings."""
+    bad = F.raise_error(F.concat(F.lit("order time cannot be read: "), text)).cast("timestamp_ntz")
+    found = try_order_time(text)
+    return F.when(text.isNull() | found.isNotNull(), found).otherwise(bad)
 
 
 def try_order_time(text: Column) -> Column:

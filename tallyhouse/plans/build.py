@@ -12,6 +12,7 @@ from ..sources.exports import file_ranges, list_files, read_exports
 from ..sources.mirror import read_mirror
 from ..sources.reference_csv import read_menu, read_price_sheet
 from ..sources.snapshots import LOYALTY_ENVELOPE, ORDERS_ENVELOPE, direct_orders_raw, raw_section, read_envelopes
+from ..staging import staged_until_end
 from . import loyalty, orders, prices, quality, sales
 
 
@@ -39,7 +40,8 @@ def build_exports(warehouse: Warehouse, inputs: Inputs) -> None:
     unparsed = quality.export_checks(raw).first().unparsed
     if unparsed:
         raise ValueError(f"{unparsed} export rows have an order time that cannot be read")
-    warehouse.publish("silver.orders", orders.orders(raw))
+    dated = orders.orders(raw).withColumn("order_month", F.trunc("order_placed_at", "month"))
+    warehouse.publish("silver.orders", dated, partition_by="order_month")
     warehouse.publish("silver.order_items", orders.order_items(raw))
 
 
@@ -109,16 +111,18 @@ def build_gold(warehouse: Warehouse, inputs: Inputs) -> None:
 
 def build(spark: SparkSession, root: str, inputs: Inputs) -> Warehouse:
     """Refresh every table whose input is given. An input that fails stops the
-    build before the answer tables, which then stay as they were."""
+    build before the answer tables, which then stay as they were. Intermediate
+    tables are removed at the end of a build, also of one that fails."""
     warehouse = Warehouse(spark, root)
     warehouse.create_layers()
-    build_exports(warehouse, inputs)
-    build_menu(warehouse, inputs)
-    if inputs.direct_orders:
-        build_direct(warehouse, inputs.direct_orders, inputs.one_per_line)
-    if inputs.loyalty:
-        build_loyalty(warehouse, inputs.loyalty, inputs.one_per_line)
-    if inputs.tables:
-        build_mirror(warehouse, inputs.tables, inputs.one_per_line)
-    build_gold(warehouse, inputs)
+    with staged_until_end(spark):
+        build_exports(warehouse, inputs)
+        build_menu(warehouse, inputs)
+        if inputs.direct_orders:
+            build_direct(warehouse, inputs.direct_orders, inputs.one_per_line)
+        if inputs.loyalty:
+            build_loyalty(warehouse, inputs.loyalty, inputs.one_per_line)
+        if inputs.tables:
+            build_mirror(warehouse, inputs.tables, inputs.one_per_line)
+        build_gold(warehouse, inputs)
     return warehouse

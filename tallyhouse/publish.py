@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .staging import remove_folder
+
 # The layers.
 LAYERS = ["bronze", "silver", "gold", "d1"]
 
@@ -34,29 +37,71 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
-    def publish(self, name: str, df: DataFrame, note: str = "") -> DataFrame:
+    def publish(self, name: str, df: DataFrame, note: str = "", partition_by: str | None = None) -> DataFrame:
         """Replace a table in full.
 
         The rows go to a new folder first and the name moves to it only when
         the write has succeeded; a job that fails leaves the old table alone.
         The name is there all the time, unless the columns have changed: then
         the table is dropped and made anew.
-        Rows are counted during the write. Readers of the old table keep their
-        files; folders of earlier builds are for the operator to remove.
+        Rows are counted during the write. Readers of the old table keep its
+        files until the next refresh: the version in use and the one before it
+        stay, older ones are removed.
+
+        ``partition_by`` names a column that becomes the last one and gets a
+        folder per value; values with many rows are written by several tasks.
         """
-        layer, table = name.split(".")
-        path = f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
+        path = f"{self._folder(name)}/{uuid.uuid4().hex}"
         written = Observation()
-        df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
+        if partition_by:
+            df = df.select(*[c for c in df.columns if c != partition_by], partition_by)
+            rows = rows.hint("rebalance", F.col(partition_by))
+        before = self._location(name)
+        rows.write.parquet(path, partitionBy=partition_by)
         if self.exists(name) and _kinds(self.table(name)) == _kinds(df):
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             self.spark.catalog.refreshTable(name)
         else:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.catalog.createTable(name, path, "parquet", df.schema)
+            self._create(name, path, df, partition_by)
+        self._remove_versions(name, {path, before})
         self.note(name, written.get["rows"], note)
         return self.table(name)
 
+    def _folder(self, name: str) -> str:
+        return f"{self.root}/{name.replace('.', '/')}"
+
+    def _create(self, name: str, path: str, df: DataFrame, partition_by: str | None) -> None:
+        if not partition_by:
+            self.spark.catalog.createTable(name, path, "parquet", df.schema)
+            return
+        # the folders alone say which partitions there are, so that they move along with the name
+        managed = "spark.sql.hive.manageFilesourcePartitions"
+        kept = self.spark.conf.get(managed)
+        columns = ", ".join(f"`{n}` {kind}" for n, kind in _kinds(df))
+        self.spark.conf.set(managed, "false")
+        try:
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (`{partition_by}`) LOCATION '{path}'")
+        finally:
+            self.spark.conf.set(managed, kept)
+
+    def _location(self, name: str) -> str | None:
+        if not self.exists(name):
+            return None
+        found = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+        return found.data_type if found else None
+
+    def _remove_versions(self, name: str, kept: set[str | None]) -> None:
+        """Remove versions of a table below its folder, but for those to keep."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self._folder(name))
+        stay = {path.rsplit("/", 1)[1] for path in kept if path}
+        for found in folder.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(folder):
+            version = found.getPath().getName()
+            if re.fullmatch("[0-9a-f]{32}", version) and version not in stay:
+                remove_folder(self.spark, found.getPath().toString())
+
     def drop(self, name: str, note: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.note(name, 0, note)

@@ -43,7 +43,10 @@ def file_ranges(files: DataFrame) -> DataFrame:
     """``start_date, end_date`` read from the names of matching files; a bad date stops the job."""
 
     def date(group: int):
-        return F.to_date(F.regexp_extract("file_path", EXPORT_FILE_PATTERN, group), EXPORT_FILE_DATE)
+        text = F.regexp_extract("file_path", EXPORT_FILE_PATTERN, group)
+        found = F.try_to_timestamp(text, F.lit(EXPORT_FILE_DATE)).cast("date")
+        bad = F.raise_error(F.concat(F.lit("no date in the name of "), "file_path")).cast("date")
+        return F.when(found.isNotNull(), found).otherwise(bad)
 
     return files.filter(F.col("file_path").rlike(EXPORT_FILE_PATTERN)).select(
         "file_path", date(1).alias("start_date"), date(2).alias("end_date")

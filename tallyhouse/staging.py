@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_open_blocks: list[list[str]] = []
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -29,7 +32,29 @@ def stage_root(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _open_blocks:
+        paths.append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder by Spark's own file systems; one that is not there is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staged_until_end(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what is staged inside, for blocks that publish all that they make."""
+    paths: list[str] = []
+    _open_blocks.append(paths)
+    try:
+        yield
+    finally:
+        _open_blocks.remove(paths)
+        for path in paths:
+            remove_folder(spark, path)
 
 
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

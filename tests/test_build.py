@@ -1,6 +1,7 @@
 """The whole way from files to published tables, and refreshes of it."""
 
 import json
+import os
 
 import pytest
 
@@ -138,6 +139,40 @@ def test_full_build(spark, tmp_path, inputs):
     assert table(spark, "gold.dough_customers", "phone") == []
 
 
+def test_partitions_and_versions(spark, tmp_path):
+    root = tmp_path / "root"
+    warehouse = Warehouse(spark, str(root))
+    warehouse.create_layers()
+    for n in (1, 2, 3):
+        rows = spark.sql(f"SELECT DATE'2026-08-01' AS month, id FROM range({n}) UNION ALL SELECT CAST(NULL AS DATE), 7L")
+        found = warehouse.publish("silver.t", rows, partition_by="month")
+        assert found.columns == ["id", "month"] and found.count() == n + 1
+        assert [r.id for r in found.filter("month IS NULL").collect()] == [7]
+        assert len(list((root / "silver" / "t").iterdir())) == min(n, 2)
+    pruned = found.filter("month = DATE'2026-08-01'")
+    assert pruned.count() == 3
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    assert warehouse.publish("silver.t", spark.range(4)).count() == 4
+    assert warehouse.publish("silver.t", spark.range(0), partition_by=None).count() == 0
+
+
+def test_staged_tables_go_with_the_build(spark, tmp_path, inputs):
+    from tallyhouse import staging
+
+    made = []
+    with staging.staged_until_end(spark):
+        kept = staging.stage(spark.range(3), "inside")
+        made.append(kept.inputFiles()[0].removeprefix("file://"))
+        assert os.path.exists(made[0])
+    assert not os.path.exists(made[0])
+    outside = staging.stage(spark.range(3), "outside")
+    folder = staging.stage_root(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    build(spark, str(tmp_path / "root"), Inputs(inputs.exports, inputs.menu))
+    assert set(os.listdir(folder)) == before and outside.count() == 3
+
+
 def test_failed_inputs_leave_the_tables(spark, tmp_path, inputs):
     build(spark, str(tmp_path / "root"), inputs)
     sales = table(spark, "gold.weekly_sales", "*")
