@@ -212,6 +212,33 @@ def test_bm25_ranks_as_the_formula_says():
         assert np.allclose(index.scores(q), wanted)
 
 
+def test_packing_deals_like_documents_together(spark):
+    """Topics in many times the rows of a shard: by a row hash an eighth of their pairs would meet."""
+    rng = random.Random(12)
+    topics = [[str(rng.randrange(10**5, 10**6)) for _ in range(40)] for _ in range(32)]
+    rows = [(i, " ".join(rng.choice(topics[i % 32]) for _ in range(60)) + " the and of to") for i in range(512)]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), shard=64).toPandas()
+    shard = dict(zip(found.doc_id, found.sequence_id // (1 << 28), strict=True))
+    assert len(set(shard.values())) >= 8
+    pairs = [(i, j) for i in range(512) for j in range(i + 32, 512, 32)]
+    assert np.mean([shard[i] == shard[j] for i, j in pairs]) > 0.75
+    # copies of one text fill more than a shard, and are cut by row
+    copies = packing.pack(spark.createDataFrame([(i, rows[0][1]) for i in range(512)], "doc_id long, text string"), shard=64).toPandas()
+    assert copies.groupby(copies.sequence_id // (1 << 28)).doc_id.nunique().max() < 200 and copies.doc_id.nunique() == 512
+
+
+def test_bm25_takes_frequencies_of_all_documents(spark):
+    rng = np.random.default_rng(4)
+    documents = [rng.integers(1, 30, rng.integers(1, 40)).astype("<u2") for _ in range(50)]
+    frame = spark.createDataFrame([(bytearray(d.tobytes()), 2) for d in documents], "rest binary, id_bytes int").repartition(3)
+    of = packing.corpus(frame)
+    assert (of.n, of.mean) == (50, np.mean([len(d) for d in documents]))
+    assert of.found.tolist() == [sum(t in d for d in documents) for t in range(len(of.found))]
+    everywhere, shard = packing.Index(documents), packing.Index(documents[:20], of)
+    for q in (0, 7, 19):
+        assert np.allclose(shard.scores(q), everywhere.scores(q)[:20])
+
+
 def test_token_counts(docs, none, tmp_path):
     spark = docs.sparkSession
     rollup = token_counts.Rollup(spark, str(tmp_path / "rollup"))
