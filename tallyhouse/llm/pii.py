@@ -9,7 +9,10 @@ across documents however they are written out. What fails validation is left.
 * Dates (1900 to 2099), IPv4 addresses and social security numbers are numbers
   of a fixed range a * b; two halves mod a and mod b are shifted in turn.
 * Cards keep their separators; the digits before the check digit are permuted
-  and the check digit is set anew.
+  and the check digit is set anew. In a run of digits, single blanks and hyphens,
+  13 to 19 digits between separators that pass the check are a card: first those
+  grouped as on cards, then any, the longest of each start. One in ten other
+  stretches passes too and is replaced.
 * Phones (without their country code), local parts of mail addresses, access
   keys, passwords and tokens are permuted character by character: digits,
   capitals and small letters stay what they are, the rest stays as it is.
@@ -45,7 +48,11 @@ PHONE = (
     r"|(?<![0-9A-Za-z+])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!-?\d)"
     r"|(?<![0-9A-Za-z+])\+\d{8,15}+(?!\d)"
 )
-CARD = r"(?<![0-9A-Za-z.-])\d(?:[ -]?\d){12,18}(?![0-9A-Za-z])"
+#: A run of digit groups; it ends before a group that begins a match of another kind or runs into a letter.
+OTHERS = "|".join([ADDRESS, SOCIAL, ISO_DATE, DAY_DATE, MONTH_DATE, PHONE])
+CARD = rf"(?<![0-9A-Za-z])(?<![0-9]\.)(?=\d(?:[ -]?\d){{12}})\d++(?![A-Za-z])(?:[ -](?!{OTHERS})\d++(?![A-Za-z]))*+"
+#: How cards are grouped, then any groups; the separator behind the last group is not part of the card.
+CARD_SHAPES = [r"^(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{4,5})[ -]?$", r"^\d"]
 KINDS = [EMAIL, ACCESS_KEY, PASSWORD, TOKEN, ADDRESS, SOCIAL, ISO_DATE, DAY_DATE, MONTH_DATE, PHONE, CARD]
 ANY = "|".join(f"(?:{kind})" for kind in KINDS)
 
@@ -120,12 +127,48 @@ def check_digit(payload: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _valid_card(value: Column) -> Column:
+    passes = lambda d: check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.substr(d, F.length(d), F.lit(1))
+    return _once(_digits(value), lambda d: F.length(d).between(13, 19) & passes(d))
+
+
 def _card(hit: Column, key: str) -> Column:
-    payload = lambda v: F.substr(_digits(v), F.lit(1), F.length(_digits(v)) - 1)
-    valid = F.concat(payload(hit), check_digit(payload(hit))) == _digits(hit)
+    payload = F.substr(_digits(hit), F.lit(1), F.length(_digits(hit)) - 1)
     # the array of one value is computed once, however often the function reads it
-    moved = F.transform(F.array(permute_characters(payload(hit), key, "card")), lambda p: F.concat(p, check_digit(p)))
-    return F.when(valid, _into_format(moved[0], hit)).otherwise(hit)
+    moved = F.transform(F.array(permute_characters(payload, key, "card")), lambda p: F.concat(p, check_digit(p)))
+    return _into_format(moved[0], hit)
+
+
+def _cards(groups: Column, key: str, shapes: list[str]) -> Column:
+    """The text of digit groups with the cards of the first shape replaced, and between them those of the others."""
+    if not shapes:
+        return F.array_join(groups, "")
+    n = F.size(groups)
+
+    def longest(i: Column) -> Column:
+        text = lambda k: F.array_join(F.slice(groups, i, k), "")
+        fits = F.filter(F.sequence(F.lit(1), F.least(F.lit(19), n - i + 1)), lambda k: _once(text(k), lambda t: t.rlike(shapes[0]) & _valid_card(t)))
+        return F.struct(i.alias("i"), F.coalesce(F.array_max(fits), F.lit(0)).alias("k"))
+
+    found = F.filter(F.transform(F.sequence(F.lit(1), n), longest), lambda x: x["k"] > 0)
+    start = F.struct(F.lit(1).alias("upto"), F.array().cast("array<struct<from:int,i:int,k:int>>").alias("cards"))
+
+    def take(state: Column, x: Column) -> Column:
+        card = F.struct(state["upto"].alias("from"), x["i"].alias("i"), x["k"].alias("k"))
+        with_it = F.struct((x["i"] + x["k"]).alias("upto"), F.concat(state["cards"], F.array(card)).alias("cards"))
+        return F.when(x["i"] >= state["upto"], with_it).otherwise(state)
+
+    def written(state: Column) -> Column:
+        gap = lambda first, upto: _once(F.slice(groups, first, upto - first), lambda g: _cards(g, key, shapes[1:]))
+        parts = F.transform(state["cards"], lambda c: F.concat(gap(c["from"], c["i"]), _once(F.array_join(F.slice(groups, c["i"], c["k"]), ""), lambda t: _card(t, key))))
+        return F.concat(F.array_join(parts, ""), gap(state["upto"], n + 1))
+
+    return F.when(n > 0, F.aggregate(found, start, take, written)).otherwise(F.lit(""))
 
 
 def _phone(hit: Column, key: str) -> Column:
@@ -178,7 +221,8 @@ def pseudonym(hit: Column, key: str = KEY) -> Column:
         .when(whole(DAY_DATE), _date(hit, "dd.MM.yyyy", key))
         .when(whole(MONTH_DATE), _date(hit, "MM/dd/yyyy", key))
         .when(whole(PHONE), _phone(hit, key))
-        .when(whole(CARD), _card(hit, key))
+        .when(whole(TOKEN), permute_characters(hit, key, "secret"))
+        .when(whole(CARD), _once(F.regexp_extract_all(hit, F.lit(r"\d+[ -]?"), F.lit(0)), lambda g: _cards(g, key, CARD_SHAPES)))
         .otherwise(permute_characters(hit, key, "secret"))
     )
 

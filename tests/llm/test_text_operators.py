@@ -285,6 +285,27 @@ def test_pseudonyms(spark, docs, none):
     assert re.search(r"card \d{16};", found[2].text) and re.search(r"\+1 \(\d{3}\) \d{3}-\d{4} from", found[1].text)
 
 
+def _masked(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in pii.pseudonymize(frame).orderBy("doc_id").collect()]
+
+
+def test_cards_beside_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 12/27", f"{card} 123", f"no 12 {card}", "5 4111111111111111", "no.4111111111111111", f"{card} 1234 5678", f"12 34 56 78 {card}"]
+    texts += [f"{card} 2nd", "card-4111111111111111", f"{card} 5500 0000 0000 0004", f"{card} 555-123-4567", f"{card} 2020-02-03 4111111111111111"]
+    found = _masked(spark, [card, *texts])
+    moved = found[0]
+    assert re.fullmatch(r"\d{4}( \d{4}){3}", moved) and moved != card
+    for text, new in zip(texts, found[1:], strict=True):
+        assert card not in new and "4111111111111111" not in new
+        assert moved.replace(" ", "") in re.sub(r"[ -]", "", new), text
+    assert found[1] == f"{moved} 12/27" and found[2] == f"{moved} 123" and found[3] == f"no 12 {moved}" and found[8] == f"{moved} 2nd"
+    assert "5500 0000" not in found[10] and "555-123-4567" not in found[11] and "2020-02-03" not in found[12]
+    left = ["3.4111111111111111", "4111 1111 1111 1112", "7" * 31 + "x"]
+    assert _masked(spark, left) == left
+
+
 def test_permutations_hit_every_value_once(spark):
     days = spark.range(pii.DAYS[0] * pii.DAYS[1])
     moved = days.select(pii.permute_number(F.col("id"), pii.DAYS, "k", "d").alias("p"))
