@@ -35,8 +35,16 @@ ROUNDS = 8
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)+"
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-PASSWORD = r"""(?<=password[=:])[^\s"']++|(?<=password = ["'])[^\s"']++"""
-TOKEN = r"(?<![0-9A-Za-z])[0-9a-f]{32,128}+(?![0-9A-Za-z])"
+#: Directly behind = or :, behind blanks and a quote or =, or behind : and a blank if it has a digit (prose has none there).
+_WORD = r"""(?i:password|passwd|pwd)["']?"""
+PASSWORD = (
+    rf"""(?<=[=:])(?<={_WORD}[=:])[^\s"']++"""
+    rf"""|(?<=["'])(?<={_WORD}[ \t]{{0,4}}[=:][ \t]{{0,4}}["'])[^\s"']++"""
+    rf"""|(?<=[= \t])(?<={_WORD}[ \t]{{0,4}}=[ \t]{{0,4}})[^\s"']++"""
+    rf"""|(?<=[ \t])(?<={_WORD}:[ \t]{{1,4}})(?=[^\s"'0-9]*+[0-9])[^\s"']++"""
+)
+#: Beyond 128 characters, one character repeated, up to the last, is filling and no secret.
+TOKEN = r"(?<![0-9A-Za-z])(?!(?=[0-9A-Fa-f]{129})(?<hex>[0-9A-Fa-f])\k<hex>*+[0-9A-Fa-f]?(?![0-9A-Za-z]))[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])"
 ADDRESS = r"(?<![0-9A-Za-z.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?[0-9A-Za-z])"
 SOCIAL = r"(?<![0-9A-Za-z-])\d{3}-\d{2}-\d{4}(?!-?[0-9A-Za-z])"
 ISO_DATE = r"(?<![0-9A-Za-z-])(?:19|20)\d{2}-\d{2}-\d{2}(?![0-9]|-[0-9])"

@@ -306,6 +306,16 @@ def test_cards_beside_other_digits(spark):
     assert _masked(spark, left) == left
 
 
+def test_secrets_of_either_case_and_any_length(spark):
+    upper, mixed, long = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "9233a8ECF7C5B09fe5949719B6B82BC439E9329B", "9f" * 100
+    texts = [f'TOKEN = "{upper}"', f"x {mixed} y", f"x {long} y", "1234567890" * 4, "Password=Hunter2x", "PASSWORD:Hunter2x", 'Password = "Hunter2x"', "passwd = Hunter2x", "Password: Hunter2x", '"password": "Hunter2x"', "pwd='Hunter2x'"]
+    for text, new in zip(texts, _masked(spark, texts), strict=True):
+        assert len(new) == len(text) and new != text and "Hunter2x" not in new
+        assert upper not in new and mixed not in new and long not in new
+    left = ["the password: required", "Password reset", "g" * 40, "a" * 31]
+    assert _masked(spark, left) == left
+
+
 def test_permutations_hit_every_value_once(spark):
     days = spark.range(pii.DAYS[0] * pii.DAYS[1])
     moved = days.select(pii.permute_number(F.col("id"), pii.DAYS, "k", "d").alias("p"))
