@@ -64,6 +64,9 @@ CARD_SHAPES = [r"^(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[
 KINDS = [EMAIL, ACCESS_KEY, PASSWORD, TOKEN, ADDRESS, SOCIAL, ISO_DATE, DAY_DATE, MONTH_DATE, PHONE, CARD]
 ANY = "|".join(f"(?:{kind})" for kind in KINDS)
 
+#: Whatever ``ANY`` matches has one of these.
+SOME = r"[0-9@]|AKIA|[A-Fa-f]{32}|(?i:password|passwd|pwd)"
+
 #: 73049 days from 1900-01-01 to 2099-12-31.
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)
 #: Areas 001-899 without 666; groups 01-99 with serials 0001-9999.
@@ -238,7 +241,7 @@ def pseudonym(hit: Column, key: str = KEY) -> Column:
 def pseudonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with pseudonyms in ``text``, and ``n_replaced``."""
     text = F.col("text")
-    some = text.rlike("[0-9@]|password")
+    some = text.rlike(SOME)
     hits = F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     found = docs.withColumn("_pii_hits", F.coalesce(hits, F.array().cast("array<string>")))
     moved = found.withColumn("_pii_moved", F.transform("_pii_hits", lambda h: pseudonym(h, key)))
