@@ -13,9 +13,11 @@ across documents however they are written out. What fails validation is left.
   13 to 19 digits between separators that pass the check are a card: first those
   grouped as on cards, then any, the longest of each start. One in ten other
   stretches passes too and is replaced.
-* Phones (without their country code), local parts of mail addresses, access
-  keys, passwords and tokens are permuted character by character: digits,
-  capitals and small letters stay what they are, the rest stays as it is.
+* Phones keep their country code and separators; the other digits are permuted.
+  A number with its trunk zero is another one than without.
+* Local parts of mail addresses, access keys, passwords and tokens are permuted
+  character by character: digits, capitals and small letters stay what they are,
+  the rest stays as it is.
 
 All of it is column arithmetic inside the document's row. The patterns start
 only at the start of a run and never step back into it, so long texts take
@@ -64,6 +66,8 @@ CARD_SHAPES = [r"^(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[
 KINDS = [EMAIL, ACCESS_KEY, PASSWORD, TOKEN, ADDRESS, SOCIAL, ISO_DATE, DAY_DATE, MONTH_DATE, PHONE, CARD]
 ANY = "|".join(f"(?:{kind})" for kind in KINDS)
 
+#: A country code: up to a separator, or by the plan of the world's codes.
+COUNTRY = r"^\+(?:\d{1,3}(?=[ .(-])|[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Whatever ``ANY`` matches has one of these.
 SOME = r"[0-9@]|AKIA|[A-Fa-f]{32}|(?i:password|passwd|pwd)"
 
@@ -183,8 +187,9 @@ def _cards(groups: Column, key: str, shapes: list[str]) -> Column:
 
 
 def _phone(hit: Column, key: str) -> Column:
-    code = F.regexp_extract(hit, r"^\+\d{1,3}(?=[ .(-])", 0)
-    return F.concat(code, permute_characters(F.substr(hit, F.length(code) + 1, F.length(hit)), key, "phone"))
+    code = F.regexp_extract(hit, COUNTRY, 0)
+    rest = F.substr(hit, F.length(code) + 1, F.length(hit))
+    return F.concat(code, _once(rest, lambda r: _once(permute_characters(_digits(r), key, "phone"), lambda d: _into_format(d, r))))
 
 
 def _date(hit: Column, form: str, key: str) -> Column:

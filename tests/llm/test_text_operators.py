@@ -323,6 +323,14 @@ def test_texts_without_digits_are_searched(spark):
         assert not any(secret in new for secret in ("QWERTYUIOPASDFGH", "abcdefab" * 5, "secretly"))
 
 
+def test_phones_are_linked_over_formats(spark):
+    texts = ["+1 (555) 123-4567", "555-123-4567", "555.123.4567", "(555) 123-4567", "+15551234567", "+1 555 123 4567"]
+    found = _masked(spark, texts)
+    digits = {re.sub(r"\D", "", re.sub(r"^\+1", "", new)) for new in found}
+    assert len(digits) == 1 and digits != {"5551234567"}
+    assert [re.sub(r"\d", "0", new) for new in found] == [re.sub(r"\d", "0", text) for text in texts]
+
+
 def test_permutations_hit_every_value_once(spark):
     days = spark.range(pii.DAYS[0] * pii.DAYS[1])
     moved = days.select(pii.permute_number(F.col("id"), pii.DAYS, "k", "d").alias("p"))
