@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.token_ids import TokenIds, default_path
-from tallyhouse.staging import stage_path
+from tallyhouse.staging import stage, stage_path
 
 GROUP = ["source", "lang", "tokenizer_version"]
 DOCUMENT = ["doc_id", *GROUP]
@@ -106,11 +106,23 @@ class Rollup:
         return rows.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).filter((F.col("n_docs") != 0) | (F.col("n_tokens") != 0))
 
 
+def load(rollup: Rollup, counts: DataFrame) -> None:
+    """All of ``counts`` in three batches. The second also revises an eighth of the documents wrongly and deletes another; the third undoes that."""
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(8))  # rows of one document stay in one batch
+    op = lambda rows, name: rows.withColumn("op", F.lit(name))
+    revised, deleted, late = counts.filter(part == 0), counts.filter(part == 1), counts.filter(part >= 5)
+    wrong = revised.withColumn("n_tokens", F.col("n_tokens") + 1)
+    gone = deleted.withColumn("n_tokens", F.lit(None).cast("long"))
+    second = op(late, "insert").unionByName(op(wrong, "revise")).unionByName(op(gone, "delete"))
+    rollup.apply("first", op(counts.filter(part < 5), "insert"))
+    rollup.apply("second", second)
+    rollup.apply("second", second)
+    rollup.apply("third", op(revised, "revise").unionByName(op(deleted, "insert")))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents inserted in one batch, which is committed again without effect."""
+    """All documents in batches with revisions and deletes, one of them committed again without effect."""
     rollup = Rollup(spark, stage_path(spark, "token-counts"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    counts = count_tokens(docs, "byte_bpe_50k").withColumn("op", F.lit("insert"))
-    rollup.apply("load", counts)
-    rollup.apply("load", counts)
+    load(rollup, stage(count_tokens(docs, "byte_bpe_50k"), "token-counts-documents"))
     return rollup.totals()

@@ -262,6 +262,26 @@ def test_token_counts(docs, none, tmp_path):
     assert token_counts.count_tokens(none, "v1").count() == 0
 
 
+def test_token_counts_query_goes_by_batches(docs, tmp_path, monkeypatch):
+    made = []
+
+    class Seen(token_counts.Rollup):
+        def __init__(self, *given):
+            super().__init__(*given)
+            made.append(self)
+
+    monkeypatch.setattr(token_counts, "Rollup", Seen)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = token_counts.op2_token_counts(docs.sparkSession, str(tmp_path)).collect()
+    wanted, n_docs = Counter(), Counter()
+    for r, ids in zip(docs.collect(), _ids([r.text or "" for r in docs.collect()]), strict=True):
+        wanted[r.source] += len(ids) - 1
+        n_docs[r.source] += 1
+    assert {r.source: (r.n_docs, r.n_tokens) for r in found} == {k: (n_docs[k], wanted[k]) for k in wanted}
+    signed = made[0]._read("documents")
+    assert len(made[0].batches()) == 3 and signed.filter("n_docs < 0").count() and signed.filter("n_docs = 0 and n_tokens < 0").count()
+
+
 def test_pseudonyms(spark, docs, none):
     assert pii.pseudonymize(none).count() == 0
     out = pii.pseudonymize(docs.select("doc_id", "text", "n_chars", "key"))
