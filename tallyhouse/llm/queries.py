@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import html_text, license_scan, minhash, mixing, packing, pii, quality, suffix_dedup, token_counts, vectors
+from tallyhouse.llm import (
+    conversations,
+    decontamination,
+    html_text,
+    license_scan,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    quality,
+    suffix_dedup,
+    token_counts,
+    vectors,
+    whitening,
+)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_mixing": mixing.op9_mixing,
     "op10_minhash_duplicates": minhash.op10_minhash_duplicates,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_decontamination": decontamination.op12_decontamination,
+    "op13_conversation_repair": conversations.op13_conversation_repair,
 }
 ORACLES = {
     "op3_license_scan": license_scan.ORACLE,
@@ -22,4 +39,5 @@ ORACLES = {
     "op7_quality_rules": quality.ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op10_minhash_duplicates": minhash.ORACLE,
+    "op12_decontamination": decontamination.ORACLE,
 }
