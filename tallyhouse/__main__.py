@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
 
 from .plans.build import Inputs, build
+from .plans.refresh import refresh
 from .publish import Warehouse
 from .session import get_session
 from .streaming.incremental import rebuild_if_changed
@@ -30,23 +31,23 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     parser.add_argument("--loyalty", help="loyalty snapshot; its tables stay as they are without")
     parser.add_argument("--tables", help="snapshot of further tables to mirror")
     parser.add_argument("--one-per-line", action="store_true", help="snapshot files hold one document per line")
-    parser.add_argument("--if-changed", action="store_true", help="build only if a CSV file was added, edited or removed")
+    parser.add_argument("--if-changed", action="store_true", help="bring up to date, and only if a CSV file was added, edited or removed")
     given = vars(parser.parse_args(argv))
     root, if_changed = given.pop("root"), given.pop("if_changed")
     inputs = Inputs(**given)
     spark = spark or get_session()
 
-    def run() -> None:
-        build(spark, root, inputs).report().show(1000, truncate=False)
+    def run(how: Callable[[SparkSession, str, Inputs], Warehouse]) -> None:
+        how(spark, root, inputs).report().show(1000, truncate=False)
 
     if not if_changed:
-        run()
+        run(build)
         return True
     warehouse = Warehouse(spark, root)
     warehouse.create_layers()
     # a sheet that is not there yet counts as added when it comes
     watched = [p for p in (inputs.exports, inputs.menu, inputs.price_sheet) if p and _exists(spark, p)]
-    return rebuild_if_changed(warehouse, watched, run)
+    return rebuild_if_changed(warehouse, watched, lambda: run(refresh))
 
 
 if __name__ == "__main__":

@@ -4,16 +4,27 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..publish import Warehouse
-from ..sources.exports import file_ranges, list_files, read_exports
+from ..sources.exports import file_ranges, list_files, ranked, read_exports
 from ..sources.mirror import read_mirror
 from ..sources.reference_csv import read_menu, read_price_sheet
 from ..sources.snapshots import LOYALTY_ENVELOPE, ORDERS_ENVELOPE, direct_orders_raw, raw_section, read_envelopes
 from ..staging import staged_until_end
-from . import loyalty, orders, prices, quality, sales
+from . import loyalty, orders, prices, quality, sales, states
+
+#: Export files with their ranks, as the tables have them.
+INDEX = "bronze.export_index"
+#: Rows of the raw table, and lines without a quantity.
+TOTALS = "bronze.export_totals"
+RAW, ORDERS, ITEMS = "bronze.order_history_raw", "silver.orders", "silver.order_items"
+WEEKS, CUSTOMERS = "silver.week_states", "silver.customer_states"
+#: Is there while a refresh replaces partitions; a build mends what it may have left.
+OPEN_REFRESH = "bronze.open_refresh"
+#: The partition column of what is kept by export file.
+FILE_ID = "_file_id"
 
 
 @dataclass
@@ -32,17 +43,34 @@ class Inputs:
     one_per_line: bool = False
 
 
-def build_exports(warehouse: Warehouse, inputs: Inputs) -> None:
-    rows = read_exports(warehouse.spark, inputs.exports)
-    files = list_files(warehouse.spark, inputs.exports).count()
-    raw = warehouse.publish("bronze.order_history_raw", rows, note=f"files: {files}")
-    # Before the strict parse, so that the message can say how many are bad.
-    unparsed = quality.export_checks(raw).first().unparsed
+def with_file_id(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(FILE_ID, F.md5(F.col("_source_file").cast("binary")))
+
+
+def refuse_unparsed(unparsed: int) -> None:
+    """Before the strict parse, so that the message can say how many are bad."""
     if unparsed:
         raise ValueError(f"{unparsed} export rows have an order time that cannot be read")
-    dated = orders.orders(raw).withColumn("order_month", F.trunc("order_placed_at", "month"))
-    warehouse.publish("silver.orders", dated, partition_by="order_month")
-    warehouse.publish("silver.order_items", orders.order_items(raw))
+
+
+def publish_totals(warehouse: Warehouse, rows: int, unparsed_quantities: int) -> None:
+    one = warehouse.spark.createDataFrame([(rows, unparsed_quantities)], "rows long, unparsed_quantities long")
+    warehouse.publish(TOTALS, one.coalesce(1))
+
+
+def build_exports(warehouse: Warehouse, inputs: Inputs) -> None:
+    """Raw rows and lines by export file, orders and their states by month."""
+    files = warehouse.publish(INDEX, ranked(list_files(warehouse.spark, inputs.exports)))
+    rows = with_file_id(read_exports(warehouse.spark, inputs.exports, ranks=files))
+    note = f"files: {warehouse.measured[INDEX]['rows']}"
+    raw = warehouse.publish(RAW, rows, note, FILE_ID, {"unparsed": quality.unparsed_times()})
+    refuse_unparsed(warehouse.measured[RAW]["unparsed"])
+    found = warehouse.publish(ORDERS, states.with_month(orders.orders(raw)), partition_by=states.MONTH)
+    lines = orders.order_items(raw, also=[FILE_ID])
+    warehouse.publish(ITEMS, lines, partition_by=FILE_ID, measure={"unparsed": quality.unparsed_quantities()})
+    warehouse.publish(WEEKS, states.week_states(found), partition_by=states.MONTH)
+    warehouse.publish(CUSTOMERS, states.customer_states(found), partition_by=states.MONTH)
+    publish_totals(warehouse, warehouse.measured[RAW]["rows"], warehouse.measured[ITEMS]["unparsed"])
 
 
 def build_menu(warehouse: Warehouse, inputs: Inputs) -> None:
@@ -66,20 +94,19 @@ def build_loyalty(warehouse: Warehouse, path: str, one_per_line: bool = False) -
         for section in ("ledger", "balances", "referrals")
     }
     ledger = warehouse.publish("silver.dough_ledger", loyalty.ledger(raw["ledger"]))
-    warehouse.publish("silver.dough_balances", loyalty.balances(raw["balances"]))
+    balances = warehouse.publish("silver.dough_balances", loyalty.balances(raw["balances"]))
     warehouse.publish("silver.referrals", loyalty.referrals(raw["referrals"]))
-    warehouse.publish("silver.dough_balances_derived", loyalty.balances_from_ledger(ledger))
-    check = warehouse.view(
+    derived = warehouse.publish("silver.dough_balances_derived", loyalty.balances_from_ledger(ledger))
+    warehouse.view(
         "gold.dough_balance_check",
-        loyalty.BALANCE_CHECK_SQL.format(
-            balances="silver.dough_balances", derived="silver.dough_balances_derived"
-        ),
+        loyalty.BALANCE_CHECK_SQL.format(balances="silver.dough_balances", derived="silver.dough_balances_derived"),
     )
     warehouse.view(
         "gold.dough_customers",
         loyalty.CUSTOMERS_SQL.format(balances="silver.dough_balances", ledger="silver.dough_ledger"),
     )
-    warehouse.note("gold.dough_balance_check", check.count(), "customers where cache and ledger disagree")
+    differing = loyalty.balance_check(balances, derived).count()
+    warehouse.note("gold.dough_balance_check", differing, "customers where cache and ledger disagree")
 
 
 def build_mirror(warehouse: Warehouse, path: str, one_per_line: bool = False) -> None:
@@ -93,36 +120,53 @@ def build_mirror(warehouse: Warehouse, path: str, one_per_line: bool = False) ->
 
 
 def build_gold(warehouse: Warehouse, inputs: Inputs) -> None:
-    spark, found = warehouse.spark, warehouse.table("silver.orders")
-    items, menu = warehouse.table("silver.order_items"), warehouse.table("silver.menu_items")
-    warehouse.publish("gold.weekly_sales", sales.weekly_sales(found))
+    """The answer tables, from the kept states where there are any."""
+    spark, found = warehouse.spark, warehouse.table(ORDERS)
+    items, menu = warehouse.table(ITEMS), warehouse.table("silver.menu_items")
+    weeks = warehouse.table(WEEKS)
+    warehouse.publish("gold.weekly_sales", states.weekly_sales(weeks))
     warehouse.publish("gold.item_performance", sales.item_performance(items, found))
-    warehouse.publish("gold.customer_summary", sales.customer_summary(found))
-    warehouse.publish("gold.ops_quality", sales.ops_quality(found))
+    warehouse.publish("gold.customer_summary", states.customer_summary(warehouse.table(CUSTOMERS)))
+    warehouse.publish("gold.ops_quality", states.ops_quality(weeks))
     sheet = read_price_sheet(spark, inputs.price_sheet)
-    priced = warehouse.publish("gold.item_prices", prices.item_prices(items, found, menu, sheet))
-    ranges = file_ranges(list_files(spark, inputs.exports))
-    raw = warehouse.table("bronze.order_history_raw")
-    warehouse.publish("gold.data_quality", quality.data_quality(ranges, raw, found, items, priced))
+    priced = prices.item_prices(items, found, menu, sheet)
+    warehouse.publish("gold.item_prices", priced, measure={"unknown": quality.unknown_prices()})
+    totals = warehouse.table(TOTALS).first()
+    # An order without an id is one order, but no id: its rows are repeats.
+    ids = weeks.agg(F.coalesce(F.sum("id_count"), F.lit(0))).first()[0]
+    measured = {
+        "duplicate_order_ids_bronze": totals.rows - ids,
+        "unparsed_order_placed_at": 0,  # else the build has stopped before
+        "unparsed_item_quantity": totals.unparsed_quantities,
+        "items_with_unknown_price": warehouse.measured["gold.item_prices"]["unknown"],
+    }
+    ranges = file_ranges(warehouse.table(INDEX))
+    warehouse.publish("gold.data_quality", quality.measured_data_quality(ranges, found, items, measured))
     # The direct channel is optional: without it the table has one channel.
     direct = warehouse.table("silver.direct_orders") if warehouse.exists("silver.direct_orders") else None
-    warehouse.publish("gold.combined_weekly_sales", sales.combined_weekly_sales(found, direct))
+    warehouse.publish("gold.combined_weekly_sales", states.combined_weekly_sales(weeks, direct))
+
+
+def build_rest(warehouse: Warehouse, inputs: Inputs) -> None:
+    """All but the export tables."""
+    build_menu(warehouse, inputs)
+    if inputs.direct_orders:
+        build_direct(warehouse, inputs.direct_orders, inputs.one_per_line)
+    if inputs.loyalty:
+        build_loyalty(warehouse, inputs.loyalty, inputs.one_per_line)
+    if inputs.tables:
+        build_mirror(warehouse, inputs.tables, inputs.one_per_line)
+    build_gold(warehouse, inputs)
 
 
 def build(spark: SparkSession, root: str, inputs: Inputs) -> Warehouse:
-    """Refresh every table whose input is given. An input that fails stops the
-    build before the answer tables, which then stay as they were. Intermediate
-    tables are removed at the end of a build, also of one that fails."""
+    """Refresh every table whose input is given, all of them together: an input
+    that fails leaves every table as it was. Intermediate tables are removed at
+    the end of a build, also of one that fails."""
     warehouse = Warehouse(spark, root)
     warehouse.create_layers()
-    with staged_until_end(spark):
+    with staged_until_end(spark), warehouse.together():
         build_exports(warehouse, inputs)
-        build_menu(warehouse, inputs)
-        if inputs.direct_orders:
-            build_direct(warehouse, inputs.direct_orders, inputs.one_per_line)
-        if inputs.loyalty:
-            build_loyalty(warehouse, inputs.loyalty, inputs.one_per_line)
-        if inputs.tables:
-            build_mirror(warehouse, inputs.tables, inputs.one_per_line)
-        build_gold(warehouse, inputs)
+        build_rest(warehouse, inputs)
+    spark.sql(f"DROP TABLE IF EXISTS {OPEN_REFRESH}")
     return warehouse

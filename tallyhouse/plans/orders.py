@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ _RULES = {
 }
 
 
+def _newest_first() -> list[Column]:
+    """Files are named by their week; when one was loaded says nothing about its rows."""
+    return [F.desc("_source_file"), F.desc("_row_seq")]
+
+
 def typed_orders(exports: DataFrame) -> DataFrame:
     """Raw export rows -> typed orders, one per order id.
 
@@ -27,8 +34,7 @@ def typed_orders(exports: DataFrame) -> DataFrame:
     order time is strict. De-duplication runs on the raw text, so only the
     rows that stay are parsed.
     """
-    newest_first = [F.desc("_loaded_at"), F.desc("_source_file"), F.desc("_row_seq")]
-    kept = keep_latest(exports.drop(ITEMS_COLUMN), ["Order ID"], newest_first)
+    kept = keep_latest(exports.drop(ITEMS_COLUMN), ["Order ID"], _newest_first())
     return kept.select(
         *[_RULES[rule](F.col(f"`{header}`")).alias(name) for header, name, rule in EXPORT_COLUMNS],
         "_source_file",
@@ -53,19 +59,20 @@ def orders(exports: DataFrame, **limits: int) -> DataFrame:
     return with_customer_sequence(typed_orders(exports), customers, **limits)
 
 
-def order_items(exports: DataFrame, dedupe: bool = False) -> DataFrame:
+def order_items(exports: DataFrame, dedupe: bool = False, also: Sequence[str] = ()) -> DataFrame:
     """``silver.order_items``: one row per line of the item text.
 
     Lines come from every export row, so an order that was exported twice has
     its lines twice; ``dedupe=True`` takes them from the newest row only.
-    ``_row_seq`` is the sequence number of the export row.
+    ``_row_seq`` is the sequence number of the export row; ``also`` names
+    further columns of it to pass on.
     """
     if dedupe:
-        newest_first = [F.desc("_loaded_at"), F.desc("_source_file"), F.desc("_row_seq")]
-        exports = keep_latest(exports, ["Order ID"], newest_first)
+        exports = keep_latest(exports, ["Order ID"], _newest_first())
     lines = exports.select(
         F.col("`Order ID`").alias("order_id"),
         "_row_seq",
+        *also,
         F.posexplode(split_items(F.col(f"`{ITEMS_COLUMN}`"))).alias("_at", "_text"),
     ).withColumn("_text", strip(F.col("_text")))
     return lines.select(
@@ -74,6 +81,7 @@ def order_items(exports: DataFrame, dedupe: bool = False) -> DataFrame:
         line_quantity(F.col("_text")).alias("quantity"),
         line_name(F.col("_text")).alias("item_name"),
         "_row_seq",
+        *also,
     )
 
 

@@ -9,31 +9,29 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import blank_to_null, try_order_time
 from ..operators.gaps import range_gaps
+from ..schemas import CHECKS
 from .sales import orders_without_items
 
 
-def _row(place: int, name: str, bad: str, value: Column, detail: Column) -> list[Column]:
-    return [
-        F.lit(place).alias("_place"),
-        F.lit(name).alias("check_name"),
-        F.when(value > 0, bad).otherwise("ok").alias("status"),
-        detail.alias("detail"),
-        value.cast("int").alias("value"),
-    ]
+def unparsed_times() -> Column:
+    """Raw rows whose order time cannot be read."""
+    placed = F.col("`Order Placed At`")
+    return F.count_if(blank_to_null(placed).isNotNull() & try_order_time(placed).isNull())
+
+
+def unparsed_quantities() -> Column:
+    return F.count_if(F.col("quantity").isNull())
 
 
-def _counted(place: int, name: str, bad: str, value: str, text: str) -> list[Column]:
-    return _row(place, name, bad, F.col(value), F.concat(F.col(value).cast("string"), F.lit(text)))
+def unknown_prices() -> Column:
+    return F.count_if(F.col("confidence") == "unknown")
 
 
 def export_checks(exports: DataFrame) -> DataFrame:
     """Repeated order ids and unreadable order times, in one pass over the raw
     rows. Run it before the strict parse, which stops at the first bad time."""
-    placed = F.col("`Order Placed At`")
-    return exports.agg(
-        (F.count(F.lit(1)) - F.countDistinct("`Order ID`")).alias("duplicates"),
-        F.count_if(blank_to_null(placed).isNotNull() & try_order_time(placed).isNull()).alias("unparsed"),
-    )
+    repeated = F.count(F.lit(1)) - F.countDistinct("`Order ID`")
+    return exports.agg(repeated.alias("duplicates"), unparsed_times().alias("unparsed"))
 
 
 def data_quality(
@@ -44,6 +42,22 @@ def data_quality(
     prices: DataFrame,
 ) -> DataFrame:
     """``check_name, status, detail, value``, in fixed order."""
+    scanned = [
+        (export_checks(exports), {"duplicate_order_ids_bronze": "duplicates", "unparsed_order_placed_at": "unparsed"}),
+        (items.agg(unparsed_quantities().alias("n")), {"unparsed_item_quantity": "n"}),
+        (prices.agg(unknown_prices().alias("n")), {"items_with_unknown_price": "n"}),
+    ]
+    return _checks(ranges, orders, items, scanned)
+
+
+def measured_data_quality(ranges: DataFrame, orders: DataFrame, items: DataFrame, measured: dict[str, int]) -> DataFrame:
+    """The same, where the counts by check name were taken while the tables were written."""
+    counts = [F.lit(n).cast("long").alias(name) for name, n in measured.items()]
+    return _checks(ranges, orders, items, [(ranges.sparkSession.range(1).select(*counts), {name: name for name in measured})])
+
+
+def _checks(ranges: DataFrame, orders: DataFrame, items: DataFrame, counted: list[tuple[DataFrame, dict[str, str]]]) -> DataFrame:
+    """``counted``: tables of one row, with the column that holds the number of each check."""
     # At most one gap per start date: the list stays as short as the calendar.
     gaps = range_gaps(ranges).agg(
         F.count(F.lit(1)).alias("n"),
@@ -51,28 +65,20 @@ def data_quality(
     )
     spans = F.transform("gaps", lambda g: F.concat(g.gap_start.cast("string"), F.lit(" to "), g.gap_end.cast("string")))
     listed = F.when(F.col("n") > 0, F.array_join(spans, ", ")).otherwise("none")
-    raw = export_checks(exports)
-    unparsed_lines = items.agg(F.count_if(F.col("quantity").isNull()).alias("n"))
     empty_orders = orders_without_items(orders.select("order_id"), items).agg(F.count(F.lit(1)).alias("n"))
-    unpriced = prices.agg(F.count_if(F.col("confidence") == "unknown").alias("n"))
-    rows = [
-        gaps.select(*_row(1, "missing_week_gaps", "warn", F.col("n"), F.concat(F.lit("Weeks with no source CSV: "), listed))),
-        raw.select(
-            F.inline(
-                F.array(
-                    F.struct(*_counted(2, "duplicate_order_ids_bronze", "fail", "duplicates", " duplicate Order ID rows in bronze.order_history_raw")),
-                    F.struct(*_counted(3, "unparsed_order_placed_at", "fail", "unparsed", " bronze rows where Order Placed At failed to parse")),
-                )
-            )
-        ),
-        unparsed_lines.select(
-            *_counted(4, "unparsed_item_quantity", "fail", "n", " silver.order_items rows where quantity failed to parse")
-        ),
-        empty_orders.select(
-            *_counted(5, "orders_with_no_items", "fail", "n", " orders in silver.orders with no matching line items")
-        ),
-        unpriced.select(
-            *_counted(6, "items_with_unknown_price", "warn", "n", " items in gold.item_prices with no resolvable price")
-        ),
-    ]
+    counted = [(gaps, {"missing_week_gaps": "n"}), *counted, (empty_orders, {"orders_with_no_items": "n"})]
+    known = {name: (place, bad, text) for place, (name, bad, text) in enumerate(CHECKS)}
+
+    def row(name: str, value: Column) -> Column:
+        place, bad, text = known[name]
+        detail = F.concat(F.lit(text), listed) if name == "missing_week_gaps" else F.concat(value.cast("string"), F.lit(text))
+        return F.struct(
+            F.lit(place).alias("_place"),
+            F.lit(name).alias("check_name"),
+            F.when(value > 0, bad).otherwise("ok").alias("status"),
+            detail.alias("detail"),
+            value.cast("int").alias("value"),
+        )
+
+    rows = [source.select(F.inline(F.array(*[row(name, F.col(of)) for name, of in names.items()]))) for source, names in counted]
     return reduce(DataFrame.unionByName, rows).orderBy("_place").drop("_place")

@@ -12,10 +12,10 @@ from ..functions.dates import week_start
 from ..functions.numbers import exact_avg, exact_sum
 from ..schemas import DELIVERED, DIRECT, MARKETPLACE
 
-_RESTAURANT = ["restaurant_id", "restaurant_name"]
+RESTAURANT = ["restaurant_id", "restaurant_name"]
 
 
-def _delivered(value: Column) -> Column:
+def delivered(value: Column) -> Column:
     return F.when(F.col("order_status") == DELIVERED, value)
 
 
@@ -26,16 +26,16 @@ def _week() -> Column:
 def weekly_sales(orders: DataFrame) -> DataFrame:
     """Per restaurant and week. An order without a status is in neither count."""
     return (
-        orders.groupBy(*_RESTAURANT, _week())
+        orders.groupBy(*RESTAURANT, _week())
         .agg(
             F.count(F.lit(1)).alias("order_count"),
             F.count_if(F.col("order_status") == DELIVERED).alias("delivered_count"),
             F.count_if(F.col("order_status") != DELIVERED).alias("cancelled_count"),
-            exact_sum(_delivered(F.col("total"))).alias("total_revenue"),
-            exact_avg(_delivered(F.col("total"))).alias("avg_order_value"),
+            exact_sum(delivered(F.col("total"))).alias("total_revenue"),
+            exact_avg(delivered(F.col("total"))).alias("avg_order_value"),
             exact_avg(F.col("rating")).alias("avg_rating"),
         )
-        .orderBy(F.asc_nulls_last("week_start"), *_RESTAURANT)
+        .orderBy(F.asc_nulls_last("week_start"), *RESTAURANT)
     )
 
 
@@ -43,26 +43,26 @@ def item_performance(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Per restaurant and item: lines and units sold."""
     return (
         items.select("order_id", "item_name", "quantity")
-        .join(orders.select("order_id", *_RESTAURANT), "order_id")
-        .groupBy(*_RESTAURANT, "item_name")
+        .join(orders.select("order_id", *RESTAURANT), "order_id")
+        .groupBy(*RESTAURANT, "item_name")
         .agg(F.count(F.lit(1)).alias("times_ordered"), F.sum("quantity").alias("total_qty"))
-        .orderBy(F.desc_nulls_last("total_qty"), *_RESTAURANT, "item_name")
+        .orderBy(F.desc_nulls_last("total_qty"), *RESTAURANT, "item_name")
     )
 
 
 def customer_summary(orders: DataFrame) -> DataFrame:
     """Per restaurant and customer: spend, order times, rating."""
     return (
-        orders.groupBy(*_RESTAURANT, "customer_id")
+        orders.groupBy(*RESTAURANT, "customer_id")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            exact_sum(_delivered(F.col("total"))).alias("total_spend"),
-            exact_avg(_delivered(F.col("total"))).alias("avg_order_value"),
+            exact_sum(delivered(F.col("total"))).alias("total_spend"),
+            exact_avg(delivered(F.col("total"))).alias("avg_order_value"),
             F.min("order_placed_at").alias("first_order_at"),
             F.max("order_placed_at").alias("last_order_at"),
             exact_avg(F.col("rating")).alias("avg_rating_given"),
         )
-        .orderBy(F.desc_nulls_last("total_spend"), *_RESTAURANT, "customer_id")
+        .orderBy(F.desc_nulls_last("total_spend"), *RESTAURANT, "customer_id")
     )
 
 
@@ -70,14 +70,14 @@ def ops_quality(orders: DataFrame) -> DataFrame:
     """Per restaurant and week: kitchen and rider times, cancellations, complaints."""
     cancelled = F.count_if(F.col("order_status") != DELIVERED)
     return (
-        orders.groupBy(*_RESTAURANT, _week())
+        orders.groupBy(*RESTAURANT, _week())
         .agg(
             exact_avg(F.col("kpt_duration_min")).alias("avg_kpt_duration_min"),
             exact_avg(F.col("rider_wait_min")).alias("avg_rider_wait_min"),
             (cancelled / F.count(F.lit(1)).cast("double")).alias("cancellation_rate"),
             F.count("customer_complaint_tag").alias("complaint_count"),
         )
-        .orderBy(F.asc_nulls_last("week_start"), *_RESTAURANT)
+        .orderBy(F.asc_nulls_last("week_start"), *RESTAURANT)
     )
 
 
@@ -90,8 +90,13 @@ def combined_weekly_sales(orders: DataFrame, direct_orders: DataFrame | None = N
     weeks = orders.groupBy(_week()).agg(
         F.count(F.lit(1)).alias("order_count"),
         F.count_if(F.col("order_status") == DELIVERED).alias("confirmed_count"),
-        exact_sum(_delivered(F.col("total"))).alias("revenue"),
+        exact_sum(delivered(F.col("total"))).alias("revenue"),
     )
+    return both_channels(weeks, direct_orders)
+
+
+def both_channels(weeks: DataFrame, direct_orders: DataFrame | None) -> DataFrame:
+    """Marketplace weeks, and those of direct orders if there are any."""
     columns = ["week_start", "source", "order_count", "confirmed_count", "revenue"]
     combined = weeks.withColumn("source", F.lit(MARKETPLACE)).select(*columns)
     if direct_orders is not None:

@@ -92,3 +92,14 @@ PRICE_METHODS = {
     "listed": "menu.csv list_price",
     "unknown": "no observation or menu price available",
 }
+
+# The standing checks in their order, what one that finds something
+# is called, and the text before its list or after its number.
+CHECKS = [
+    ("missing_week_gaps", "warn", "Weeks with no source CSV: "),
+    ("duplicate_order_ids_bronze", "fail", " duplicate Order ID rows in bronze.order_history_raw"),
+    ("unparsed_order_placed_at", "fail", " bronze rows where Order Placed At failed to parse"),
+    ("unparsed_item_quantity", "fail", " silver.order_items rows where quantity failed to parse"),
+    ("orders_with_no_items", "fail", " orders in silver.orders with no matching line items"),
+    ("items_with_unknown_price", "warn", " items in gold.item_prices with no resolvable price"),
+]
