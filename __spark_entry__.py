@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from fixtures import FIRST_FILE, SECOND_FILE, view, with_views  # noqa: E402
+from tallyhouse.functions.dates import week_start  # noqa: E402
 from tallyhouse.functions.text import dish_base, dish_size  # noqa: E402
 from tallyhouse.operators.gaps import range_gaps  # noqa: E402
 from tallyhouse.operators.modes import mode_two_decimals  # noqa: E402
-from tallyhouse.plans import loyalty, orders, prices, quality, sales  # noqa: E402
-from tallyhouse.plans.build import Inputs, build  # noqa: E402
+from tallyhouse.plans import loyalty, orders, prices, quality, refresh, sales, states  # noqa: E402
+from tallyhouse.plans.build import Inputs, build, build_exports  # noqa: E402
 from tallyhouse.publish import Warehouse  # noqa: E402
 from tallyhouse.sources import exports, mirror, reference_csv, snapshots  # noqa: E402
-from tallyhouse.staging import stage, stage_path  # noqa: E402
+from tallyhouse.staging import remove_folder, stage, stage_path  # noqa: E402
 from tallyhouse.streaming import incremental  # noqa: E402
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -731,19 +732,85 @@ def full_build_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_AS_CSV = {
+    "header": True, "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Export tables after two refreshes; the files end as those of ``fx_bronze``.
+
+    At first the older export lacks a third of its orders and has wrong totals,
+    and a later one has a sixth of them once more, rated and of another customer.
+    Then the newer export comes; then the older one is replaced and the later
+    one withdrawn.
+    """
+    folder = stage_path(spark, "exports")
+    raw = stage(view(spark, sf_dir, "fx_bronze"), "fx-bronze")
+    number = F.col("`Order ID`").cast("long")
+
+    def write(name: str, rows: DataFrame) -> None:
+        plain = rows.drop("_source_file", "_row_seq", "_loaded_at")
+        plain.write.mode("overwrite").csv(f"{folder}/{name}", **_AS_CSV)
+
+    older, newer = (raw.filter(F.col("_source_file") == name) for name in (FIRST_FILE, SECOND_FILE))
+    write("20260101", older.filter(number % 3 != 0).withColumn("Total", F.lit("1")))
+    write("20260115", older.filter(number % 6 == 1).withColumns({"Rating": F.lit("5"), "Customer ID": F.lit("moved")}))
+    inputs = Inputs(f"{folder}/*", "")
+    warehouse = Warehouse(spark, stage_path(spark, "warehouse"))
+    warehouse.create_layers()
+    with warehouse.together():
+        build_exports(warehouse, inputs)
+
+    def catch_up() -> None:
+        found = refresh.changes(warehouse, inputs)
+        with warehouse.together():
+            refresh.refresh_exports(warehouse, inputs, found)
+
+    write("20260108", newer)
+    catch_up()
+    write("20260101", older)
+    remove_folder(spark, f"{folder}/20260115")
+    catch_up()
+    return warehouse
+
+
+@_query(
+    "refresh_by_change",
+    ["fx_orders"],
+    f"""WITH typed AS ({_TYPED}),
+    numbered AS (SELECT *, date_trunc('week', order_placed_at) AS week_start,
+      row_number() OVER (PARTITION BY customer_id ORDER BY order_placed_at, order_id) AS seq FROM typed)
+    SELECT restaurant_id, restaurant_name, week_start, count(*) AS order_count, {_DELIVERED} AS delivered_count,
+      {_NOT_DELIVERED} AS cancelled_count, {_REVENUE} AS total_revenue, {_REVENUE} / nullif({_DELIVERED}, 0) AS avg_order_value,
+      avg(rating) AS avg_rating, CAST(sum(seq) AS BIGINT) AS seq_sum, count(*) FILTER (WHERE seq = 1) AS first_orders,
+      CAST(sum(CAST(order_id AS BIGINT) * seq) AS BIGINT) AS weighted_ids
+    FROM numbered GROUP BY 1, 2, 3""",
+)
+def refresh_by_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly sales from the kept states of months, and the orders' numbers, after files came and went."""
+    warehouse = _refreshed(spark, sf_dir)
+    group = [*sales.RESTAURANT, "week_start"]
+    found = warehouse.table("silver.orders").withColumn("week_start", week_start(F.col("order_placed_at")))
+    seq = F.col("customer_order_seq")
+    numbers = found.groupBy(*group).agg(
+        F.sum(seq).alias("seq_sum"),
+        F.count_if("is_first_order").alias("first_orders"),
+        F.sum(F.col("order_id").cast("long") * seq).alias("weighted_ids"),
+    )
+    return states.weekly_sales(warehouse.table("silver.week_states")).join(numbers, group)
+
+
 def _built(spark: SparkSession, sf_dir: str) -> Warehouse:
     folder = stage_path(spark, "full-build")
-    as_csv = {
-        "header": True, "quote": '"', "escape": '"',
-        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
-    }
     raw = view(spark, sf_dir, "fx_bronze").drop("_source_file", "_row_seq", "_loaded_at")
-    raw.write.csv(f"{folder}/exports", **as_csv)
+    raw.write.csv(f"{folder}/exports", **_AS_CSV)
     menu = view(spark, sf_dir, "fx_menu")
     blank = [F.lit(None).cast("string").alias(c) for c in ("subcategory", "is_veg", "size")]
     end = [F.lit(None).cast("string").alias(c) for c in ("unit_cost", "active")]
-    menu.select("item_name", "category", *blank, "list_price", *end).write.csv(f"{folder}/menu", **as_csv)
-    view(spark, sf_dir, "fx_sheet").drop("sheet_seq").write.csv(f"{folder}/sheet", **as_csv)
+    menu.select("item_name", "category", *blank, "list_price", *end).write.csv(f"{folder}/menu", **_AS_CSV)
+    view(spark, sf_dir, "fx_sheet").drop("sheet_seq").write.csv(f"{folder}/sheet", **_AS_CSV)
     _write_snapshot(f"{folder}/direct", orders=view(spark, sf_dir, "fx_direct_json"))
     names = ("exports", "menu", "sheet", "direct")
     inputs = Inputs(*(f"{folder}/{name}" for name in names), one_per_line=True)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .staging import remove_folder, stage
+from .staging import remove_folder
 
 # The layers.
 LAYERS = ["bronze", "silver", "gold", "d1"]
@@ -193,30 +193,28 @@ class Warehouse:
         """Replace the partitions that ``df`` has rows of, in place, and remove those that are ``gone``.
 
         All other partitions keep their files. ``df`` may have columns that the
-        table does not have yet; it must not read the table itself, so its rows
-        are stored first. Partitions are replaced one after another: a reader
-        may meet some of them old and some new.
+        table does not have yet; it must not read the table itself. Partitions
+        are replaced one after another: a reader may meet some of them old and
+        some new.
         """
-        rows = stage(df, "partitions")
         known = {c.lower() for c in self.spark.table(name).columns}
-        if new := [(c, kind) for c, kind in _kinds(rows) if c.lower() not in known]:
+        if new := [(c, kind) for c, kind in _kinds(df) if c.lower() not in known]:
             self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` {kind}' for c, kind in new)})")
         path = self._location(name)
-        rows.hint("rebalance", F.col(partition_by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
+        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
             path, partitionBy=partition_by
         )
         for value in gone:
             remove_folder(self.spark, f"{path}/{partition_by}={_NULL_FOLDER if value is None else value}")
         self.spark.catalog.refreshTable(name)
-        versions = self._versions()
-        if new and name in versions:
+        if new and name in (versions := self._versions()):
             self._write_versions(versions | {name: _Written(path, self.spark.table(name).schema, partition_by)})
 
     def _location(self, name: str) -> str | None:
         if not self.spark.catalog.tableExists(name):
             return None
-        found = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
-        return found.data_type if found else None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+        return next((r.data_type for r in rows if r.col_name == "Location"), None)
 
     def _remove_versions(self, name: str, kept: set[str | None]) -> None:
         """Remove versions of a table below its folder, but for those to keep."""
@@ -235,14 +233,15 @@ class Warehouse:
                 self._write_versions(versions)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-        self._at_end(step)
+        self.at_end(step)
         self.note(name, 0, note)
 
     def view(self, name: str, sql: str) -> None:
         """Register a query that is evaluated when it is read."""
-        self._at_end(lambda: self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}"))
+        self.at_end(lambda: self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}"))
 
-    def _at_end(self, step: Callable[[], object]) -> None:
+    def at_end(self, step: Callable[[], object]) -> None:
+        """Do something after the tables of ``together`` are published, or at once."""
         if self._waiting is None:
             step()
         else:
