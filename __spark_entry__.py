@@ -277,8 +277,8 @@ def direct_snapshot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines, from envelopes of 500 orders read as files."""
     path = stage_path(spark, "direct-snapshot")
     _write_snapshot(path, orders=view(spark, sf_dir, "fx_direct_json"))
-    envelopes = snapshots.read_envelopes(spark, path, snapshots.ORDERS_ENVELOPE, one_per_line=True)
-    return orders.direct_order_items(snapshots.direct_orders_raw(envelopes))
+    sections = snapshots.read_sections(spark, path, snapshots.ORDERS_SECTIONS, one_per_line=True)
+    return orders.direct_order_items(snapshots.direct_orders_raw(sections["orders"]))
 
 
 @_query(

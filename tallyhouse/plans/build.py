@@ -11,7 +11,7 @@ from ..publish import Warehouse
 from ..sources.exports import file_ranges, list_files, ranked, read_exports
 from ..sources.mirror import read_mirror
 from ..sources.reference_csv import read_menu, read_price_sheet
-from ..sources.snapshots import LOYALTY_ENVELOPE, ORDERS_ENVELOPE, direct_orders_raw, raw_section, read_envelopes
+from ..sources.snapshots import LOYALTY_SECTIONS, ORDERS_SECTIONS, direct_orders_raw, raw_elements, read_sections
 from ..staging import staged_until_end
 from . import loyalty, orders, prices, quality, sales, states
 
@@ -81,18 +81,15 @@ def build_menu(warehouse: Warehouse, inputs: Inputs) -> None:
 
 
 def build_direct(warehouse: Warehouse, path: str, one_per_line: bool = False) -> None:
-    envelopes = read_envelopes(warehouse.spark, path, ORDERS_ENVELOPE, one_per_line)
-    raw = warehouse.publish("bronze.direct_orders_raw", direct_orders_raw(envelopes))
+    sections = read_sections(warehouse.spark, path, ORDERS_SECTIONS, one_per_line)
+    raw = warehouse.publish("bronze.direct_orders_raw", direct_orders_raw(sections["orders"]))
     warehouse.publish("silver.direct_orders", orders.direct_orders(raw))
     warehouse.publish("silver.direct_order_items", orders.direct_order_items(raw))
 
 
 def build_loyalty(warehouse: Warehouse, path: str, one_per_line: bool = False) -> None:
-    envelopes = read_envelopes(warehouse.spark, path, LOYALTY_ENVELOPE, one_per_line)
-    raw = {
-        section: warehouse.publish(f"bronze.dough_{section}", raw_section(envelopes, section))
-        for section in ("ledger", "balances", "referrals")
-    }
+    sections = read_sections(warehouse.spark, path, LOYALTY_SECTIONS, one_per_line)
+    raw = {name: warehouse.publish(f"bronze.dough_{name}", raw_elements(found)) for name, found in sections.items()}
     ledger = warehouse.publish("silver.dough_ledger", loyalty.ledger(raw["ledger"]))
     balances = warehouse.publish("silver.dough_balances", loyalty.balances(raw["balances"]))
     warehouse.publish("silver.referrals", loyalty.referrals(raw["referrals"]))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .snapshots import check, read_envelopes, require_ok
+from .snapshots import check, read_documents, require_ok
 
 TABLES_ENVELOPE = (
     "ok variant, generated_at string, "
@@ -118,8 +118,38 @@ def _infer(cells: DataFrame) -> dict[str, str]:
     return kinds
 
 
+def _stored(documents: DataFrame) -> DataFrame:
+    """One stored row per table row, and one per table that failed, with its ``message``.
+
+    They are in a folder per table: a large document is spread over tasks, and
+    each table reads its own folder only.
+    """
+    kind = "array<struct<name: string, columns: array<string>, rows: array<array<variant>>, message: string>>"
+    none = F.array().cast(kind)
+    found = F.transform(
+        F.map_entries("tables"),
+        lambda e: F.struct(
+            e.key.alias("name"), e.value.columns.alias("columns"), e.value.rows.alias("rows"), F.lit(None).cast("string").alias("message")
+        ),
+    )
+    lost = F.transform(
+        F.map_entries("failed"),
+        lambda e: F.struct(
+            e.key.alias("name"),
+            F.lit(None).cast("array<string>").alias("columns"),
+            F.lit(None).cast("array<array<variant>>").alias("rows"),
+            F.coalesce(e.value, F.lit("")).alias("message"),
+        ),
+    )
+    entries = F.concat(F.coalesce(found, none), F.coalesce(lost, none))
+    flat = documents.select("generated_at", F.explode(entries).alias("t")).select(
+        "generated_at", "t.name", "t.columns", "t.message", F.explode_outer("t.rows").alias("row")
+    )
+    return stage(flat, "mirror", partition_by=["name"])
+
+
 def mirror_tables(envelopes: DataFrame) -> Mirror:
-    """Rebuild every table of the snapshot with ``synced_at`` and inferred types.
+    """Rebuild every table of a parsed snapshot with ``synced_at`` and inferred types.
 
     The driver sees table and column names and one type per column. Tables
     without columns are left out and named in ``empty``; those the sender could
@@ -131,19 +161,14 @@ def mirror_tables(envelopes: DataFrame) -> Mirror:
             "snapshot has no tables or no generated_at",
         )
     )
-    # One stored row per table row, in a folder per table: a large document is
-    # spread over tasks, and each table below reads its own folder only.
-    flat = stage(
-        accepted.select("generated_at", F.explode("tables").alias("name", "t")).select(
-            "generated_at", "name", "t.columns", F.explode_outer("t.rows").alias("row")
-        ),
-        "mirror",
-        partition_by=["name"],
-    )
+    return _mirror(_stored(accepted))
+
+
+def _mirror(stored: DataFrame) -> Mirror:
     failed = {
-        r.name: r.message
-        for r in accepted.select(F.explode("failed").alias("name", "message")).distinct().collect()
+        r.name: r.message for r in stored.filter("message is not null").select("name", "message").distinct().collect()
     }
+    flat = stored.filter("message is null")
     layouts = (
         flat.groupBy("name", "columns").agg(F.count("row").alias("rows")).orderBy("name", "columns").collect()
     )
@@ -153,7 +178,7 @@ def mirror_tables(envelopes: DataFrame) -> Mirror:
         columns_of.setdefault(layout.name, []).append(layout.columns or [])
         rows_of[layout.name] = rows_of.get(layout.name, 0) + layout.rows
 
-    spark = envelopes.sparkSession
+    spark = stored.sparkSession
     tables, empty = {}, []
     for name, given in columns_of.items():
         if not any(given):
@@ -170,4 +195,8 @@ def mirror_tables(envelopes: DataFrame) -> Mirror:
 
 
 def read_mirror(spark: SparkSession, path: str, one_per_line: bool = False) -> Mirror:
-    return mirror_tables(read_envelopes(spark, path, TABLES_ENVELOPE, one_per_line))
+    """``mirror_tables`` of a snapshot's files, which are read once."""
+    documents, gate = read_documents(spark, path, TABLES_ENVELOPE, one_per_line, ["tables", "generated_at"])
+    stored = _stored(documents)
+    gate.pass_or_refuse()
+    return _mirror(stored)

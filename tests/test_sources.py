@@ -177,18 +177,28 @@ ORDER = {
 }
 
 
-def envelopes(spark, tmp_path, schema, *documents):
+def written(tmp_path, *documents):
     folder = tmp_path / f"snap{len(list(tmp_path.iterdir()))}"
     for i, document in enumerate(documents):
         write(folder, f"{i}.json", json.dumps(document, indent=1))
-    return snapshots.read_envelopes(spark, str(folder), schema)
+    return str(folder)
+
+
+def direct_raw(spark, tmp_path, *documents):
+    found = snapshots.read_sections(spark, written(tmp_path, *documents), snapshots.ORDERS_SECTIONS)
+    return snapshots.direct_orders_raw(found["orders"])
+
+
+def loyalty_sections(spark, path, **how):
+    found = snapshots.read_sections(spark, str(path), snapshots.LOYALTY_SECTIONS, **how)
+    return {name: snapshots.raw_elements(elements) for name, elements in found.items()}
 
 
 def test_direct_orders(spark, tmp_path, rows):
     one = {"ok": True, "generated_at": "2026-08-17", "orders": [ORDER]}
     two = {"ok": 1, "generated_at": "2026-08-18", "orders": [{**ORDER, "order_id": "8", "items": []}]}
     three = {"ok": "yes", "orders": []}
-    raw = snapshots.direct_orders_raw(envelopes(spark, tmp_path, snapshots.ORDERS_ENVELOPE, one, two, three))
+    raw = direct_raw(spark, tmp_path, one, two, three)
     typed = orders.direct_orders(raw)
     placed = dt.datetime(2026, 8, 16, 10)
     assert rows(typed, "order_id", "source", "order_placed_at", "slot_at", "total", "customer_name") == [
@@ -205,38 +215,81 @@ def test_direct_orders(spark, tmp_path, rows):
 @pytest.mark.parametrize("field", snapshots.DIRECT_REQUIRED)
 def test_direct_orders_need_their_fields(spark, tmp_path, field):
     short = {k: v for k, v in ORDER.items() if k != field}
-    raw = snapshots.direct_orders_raw(
-        envelopes(spark, tmp_path, snapshots.ORDERS_ENVELOPE, {"ok": True, "orders": [ORDER, short]})
-    )
+    raw = direct_raw(spark, tmp_path, {"ok": True, "orders": [ORDER, short]})
     with pytest.raises(PySparkException, match=f"order without {field}"):
         raw.select("order_id").collect()
 
 
 @pytest.mark.parametrize("flag", [{"ok": False}, {}, {"ok": None}, {"ok": 0}, {"ok": ""}])
 def test_refused_snapshot_writes_nothing(spark, tmp_path, flag):
-    found = envelopes(spark, tmp_path, snapshots.LOYALTY_ENVELOPE, {**flag, "ledger": [{"id": 1}]})
+    document = {**flag, "ledger": [{"id": 1}]}
+    with pytest.raises(ValueError, match="refused"):
+        loyalty_sections(spark, written(tmp_path, {"ok": True}, document))
+    parsed = spark.createDataFrame([(json.dumps(document),)], "doc string").selectExpr(
+        f"from_json(doc, '{snapshots.LOYALTY_ENVELOPE}') d"
+    )
     out = tmp_path / "out"
     with pytest.raises(PySparkException, match="refused"):
-        snapshots.raw_section(found, "ledger").write.parquet(str(out))
+        snapshots.raw_section(snapshots.require_ok(parsed.select("d.*")), "ledger").write.parquet(str(out))
     assert not list(out.glob("*.parquet"))
 
 
 def test_empty_and_broken_snapshots_are_refused(spark, tmp_path):
     write(tmp_path, "empty.json", "")
     with pytest.raises((ValueError, PySparkException)):
-        snapshots.read_envelopes(spark, str(tmp_path / "empty.json"), snapshots.LOYALTY_ENVELOPE).collect()
+        loyalty_sections(spark, tmp_path / "empty.json")
     write(tmp_path, "page.json", "<html>sign in</html>")
     with pytest.raises((ValueError, PySparkException)):
-        snapshots.read_envelopes(spark, str(tmp_path / "page.json"), snapshots.LOYALTY_ENVELOPE).collect()
+        loyalty_sections(spark, tmp_path / "page.json")
 
 
 def test_documents_per_line_are_never_cut_short(spark, tmp_path):
     lines = [json.dumps({"ok": True, "ledger": [{"id": i}]}) for i in range(3)]
     write(tmp_path, "lines.json", "\n".join(lines) + "\n")
     with pytest.raises(ValueError, match="one_per_line"):
-        snapshots.read_envelopes(spark, str(tmp_path), snapshots.LOYALTY_ENVELOPE)
-    found = snapshots.read_envelopes(spark, str(tmp_path), snapshots.LOYALTY_ENVELOPE, one_per_line=True)
-    assert snapshots.raw_section(found, "ledger").count() == 3
+        loyalty_sections(spark, tmp_path)
+    assert loyalty_sections(spark, tmp_path, one_per_line=True)["ledger"].count() == 3
+
+
+@pytest.mark.parametrize(
+    "text,one_per_line",
+    [
+        ('{"ok": true}{"ok": false}', False),
+        ('{"ok": true}, {"ok": true}', False),
+        ('{"ok": true} {"ok": true}\n', True),
+        ('{"ok": true,\n "ledger": [1', False),
+        ('{"ok": true} rest', False),
+        ('[{"ok": true}]', False),
+        ("null", False),
+        ("{'ok': true}", False),
+    ],
+)
+def test_a_unit_holds_exactly_one_document(spark, tmp_path, text, one_per_line):
+    write(tmp_path, "good.json", '{"ok": true}\n')
+    write(tmp_path, "two.json", text)
+    with pytest.raises(ValueError, match="exactly one document"):
+        loyalty_sections(spark, tmp_path, one_per_line=one_per_line)
+
+
+def test_a_snapshot_without_orders_is_refused(spark, tmp_path):
+    for orders_section in ({}, {"orders": None}, {"orders": {"a": 1}}):
+        with pytest.raises(ValueError, match="no orders"):
+            direct_raw(spark, tmp_path, {"ok": True, "orders": []}, {"ok": True, **orders_section})
+
+
+def test_a_snapshot_is_read_once(spark, tmp_path):
+    """All sections come from one job over the source; what is read later is the stored table."""
+    group = "snapshot-once"
+    path = written(tmp_path, {"ok": True, "ledger": [{"id": 1}, {"id": 2}], "balances": [{"customer_id": 1}]})
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = loyalty_sections(spark, path)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+    assert [found[name].count() for name in ("ledger", "balances", "referrals")] == [2, 1, 0]
+    assert all(path not in file for file in found["ledger"].inputFiles())
 
 
 def test_loyalty_sections(spark, tmp_path, rows):
@@ -248,12 +301,12 @@ def test_loyalty_sections(spark, tmp_path, rows):
             for i, s in ((1, 0), (2, 1), (3, None), (4, True), (5, "1"))
         ],
     }
-    found = envelopes(spark, tmp_path, snapshots.LOYALTY_ENVELOPE, document)
-    raw = snapshots.raw_section(found, "ledger")
+    found = loyalty_sections(spark, written(tmp_path, document))
+    raw = found["ledger"]
     assert json.loads(raw.first().raw) == document["ledger"][0]
     assert rows(loyalty.ledger(raw)) == [(1, 5, None, -20, "spend", None, None, None)]
-    assert snapshots.raw_section(found, "balances").isEmpty()
-    flags = loyalty.referrals(snapshots.raw_section(found, "referrals")).orderBy("referral_id")
+    assert found["balances"].isEmpty()
+    flags = loyalty.referrals(found["referrals"]).orderBy("referral_id")
     assert [r.same_device for r in flags.collect()] == [False, True, None, None, True]
     assert {(str(r.created_at), r.rewarded_at) for r in flags.collect()} == {("2026-08-16 10:00:00", None)}
 
@@ -273,7 +326,7 @@ STAMP = "2026-08-29T10:00:00.000Z"
 
 
 def mirror_of(spark, tmp_path, *documents):
-    return mirror.mirror_tables(envelopes(spark, tmp_path, mirror.TABLES_ENVELOPE, *documents))
+    return mirror.read_mirror(spark, written(tmp_path, *documents))
 
 
 def test_mirror_types(spark, tmp_path):
@@ -331,5 +384,5 @@ def test_mirror_pages_may_order_columns_differently(spark, tmp_path, rows):
 
 
 def test_mirror_needs_its_sections(spark, tmp_path):
-    with pytest.raises(PySparkException, match="no tables"):
+    with pytest.raises(ValueError, match="no tables"):
         mirror_of(spark, tmp_path, {"ok": True, "generated_at": "2026-08-29"})
