@@ -505,6 +505,34 @@ def duplicate_order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.export_checks(view(spark, sf_dir, "fx_bronze"))
 
 
+@_query(
+    "unreadable_rows",
+    ["fx_orders", "fx_order_parts", "fx_lines"],
+    """SELECT 'times' AS what, count(*) AS unparsed FROM (
+      SELECT order_id FROM fx_orders JOIN fx_order_parts USING (order_id) UNION ALL
+      SELECT order_id FROM fx_orders JOIN fx_order_parts USING (order_id) WHERE order_status = 'Rejected') r
+    WHERE order_id % 7 = 0
+    UNION ALL SELECT 'quantities', count(*) FROM (
+      SELECT * FROM fx_lines UNION ALL
+      SELECT l.* FROM fx_lines l JOIN fx_orders o USING (order_id) WHERE o.order_status = 'Rejected') i
+    WHERE item_seq % 100 = 1""",
+)
+def unreadable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of two checks over exports with times and quantities that cannot be read."""
+    raw = view(spark, sf_dir, "fx_bronze")
+    placed, listed = F.col("`Order Placed At`"), F.col("`Items in order`")
+    spoilt = raw.withColumns(
+        {
+            "Order Placed At": F.when(F.col("`Order ID`").cast("long") % 7 == 0, F.concat(F.lit("about "), placed)).otherwise(placed),
+            # the first line of each export row
+            "Items in order": F.concat(F.lit("some "), listed),
+        }
+    )
+    times = quality.export_checks(spoilt).select(F.lit("times").alias("what"), "unparsed")
+    lines = orders.order_items(spoilt).agg(quality.unparsed_quantities().alias("unparsed"))
+    return times.unionByName(lines.select(F.lit("quantities").alias("what"), "unparsed"))
+
+
 def _data_quality_oracle() -> str:
     unknown = f"SELECT count(*) FROM ({_item_prices_oracle()}) p WHERE confidence = 'unknown'"
     empty = "SELECT count(*) FROM fx_orders WHERE order_id NOT IN (SELECT order_id FROM fx_items)"

@@ -55,12 +55,12 @@ def refuse_unparsed(unparsed: int) -> None:
 
 def publish_totals(warehouse: Warehouse, rows: int, unparsed_quantities: int) -> None:
     one = warehouse.spark.createDataFrame([(rows, unparsed_quantities)], "rows long, unparsed_quantities long")
-    warehouse.publish(TOTALS, one.coalesce(1))
+    warehouse.publish(TOTALS, one.coalesce(1), listed=False)
 
 
 def build_exports(warehouse: Warehouse, inputs: Inputs) -> None:
     """Raw rows and lines by export file, orders and their states by month."""
-    files = warehouse.publish(INDEX, ranked(list_files(warehouse.spark, inputs.exports)))
+    files = warehouse.publish(INDEX, ranked(list_files(warehouse.spark, inputs.exports)), listed=False)
     rows = with_file_id(read_exports(warehouse.spark, inputs.exports, ranks=files))
     note = f"files: {warehouse.measured[INDEX]['rows']}"
     raw = warehouse.publish(RAW, rows, note, FILE_ID, {"unparsed": quality.unparsed_times()})
@@ -68,8 +68,8 @@ def build_exports(warehouse: Warehouse, inputs: Inputs) -> None:
     found = warehouse.publish(ORDERS, states.with_month(orders.orders(raw)), partition_by=states.MONTH)
     lines = orders.order_items(raw, also=[FILE_ID])
     warehouse.publish(ITEMS, lines, partition_by=FILE_ID, measure={"unparsed": quality.unparsed_quantities()})
-    warehouse.publish(WEEKS, states.week_states(found), partition_by=states.MONTH)
-    warehouse.publish(CUSTOMERS, states.customer_states(found), partition_by=states.MONTH)
+    warehouse.publish(WEEKS, states.week_states(found), partition_by=states.MONTH, listed=False)
+    warehouse.publish(CUSTOMERS, states.customer_states(found), partition_by=states.MONTH, listed=False)
     publish_totals(warehouse, warehouse.measured[RAW]["rows"], warehouse.measured[ITEMS]["unparsed"])
 
 

@@ -113,6 +113,7 @@ class Warehouse:
         note: str = "",
         partition_by: str | None = None,
         measure: dict[str, Column] | None = None,
+        listed: bool = True,
     ) -> DataFrame:
         """Replace a table in full.
 
@@ -127,6 +128,7 @@ class Warehouse:
 
         ``partition_by`` names a column that becomes the last one and gets a
         folder per value; values with many rows are written by several tasks.
+        A table that is not ``listed`` is left out of the report.
         """
         path = f"{self._folder(name)}/{uuid.uuid4().hex}"
         seen = Observation()
@@ -136,7 +138,8 @@ class Warehouse:
             rows = rows.hint("rebalance", F.col(partition_by))
         rows.write.parquet(path, partitionBy=partition_by)
         self.measured[name] = dict(seen.get)
-        self.note(name, self.measured[name]["rows"], note)
+        if listed:
+            self.note(name, self.measured[name]["rows"], note)
         written = _Written(path, df.schema, partition_by)
         if self._waiting is None:
             self._move({name: written}, alone=True)
