@@ -50,6 +50,10 @@ def match_sheet(names: DataFrame, sheet: DataFrame) -> DataFrame:
     )
 
 
+#: Rounds whose sums are read one by one, before they are added up and stored as one.
+_ROUNDS_KEPT = 8
+
+
 def _numbered(names: DataFrame) -> DataFrame:
     """Store the items with a number each, so that the solver moves and compares BIGINTs."""
     return stage(names.withColumn("item_no", F.monotonically_increasing_id()), "item-numbers")
@@ -60,7 +64,9 @@ class _Bills:
     """Solver input by item number: lines with a quantity, and known bills."""
 
     lines: DataFrame  # order_id, item_no, quantity
-    totals: DataFrame  # order_id, n_lines, item_no, quantity, bill, order_seq
+    #: order_id, n_lines, item_no, quantity, bill, order_seq: item numbers are combined
+    #: by XOR and quantities added, so that lines can be taken out again.
+    totals: DataFrame
 
 
 def _bills(items: DataFrame, numbers: DataFrame, orders: DataFrame, seq: str) -> _Bills:
@@ -77,8 +83,8 @@ def _bills(items: DataFrame, numbers: DataFrame, orders: DataFrame, seq: str) ->
         .groupBy("order_id")
         .agg(
             F.count("item_no").alias("n_lines"),
-            F.max("item_no").alias("item_no"),
-            F.max("quantity").alias("quantity"),
+            F.bit_xor("item_no").alias("item_no"),
+            F.sum("quantity").alias("quantity"),
             F.max("bill").alias("bill"),
             F.min("order_seq").alias("order_seq"),
         )
@@ -92,36 +98,27 @@ def _observed(bills: _Bills) -> DataFrame:
     return mode_two_decimals(single, ["item_no"], F.col("bill"), F.col("order_seq"))
 
 
-def _round(lines: DataFrame, open_orders: DataFrame) -> DataFrame:
-    """Per order with a bill: what is known of it so far and what is not.
-
-    ``lines`` carry the price found in the last round, or NULL; ``open_orders``
-    carry the bill and the known part of earlier rounds.
-    """
+def _priced(lines: DataFrame, found: DataFrame) -> DataFrame:
+    """Per order what the lines of items just found take from its open part and add to the known one."""
+    hits = lines.join(found.select("item_no", F.col("mode_value").alias("price")), "item_no")
     price, quantity = F.col("price"), F.col("quantity")
-    cents = F.when(is_cents(price), to_cents(price) * quantity)
-    rest = F.when(~is_cents(price), price * quantity)
-    unpriced = F.col("item_no").isNotNull() & price.isNull()
-    steps = lines.withColumns({"known_cents": cents, "known_rest": rest})
-    return (
-        steps.unionByName(open_orders, allowMissingColumns=True)
-        .groupBy("order_id")
-        .agg(
-            F.max("bill").alias("bill"),
-            F.min("order_seq").alias("order_seq"),
-            F.sum("known_cents").alias("known_cents"),
-            F.sum("known_rest").alias("known_rest"),
-            F.count_if(unpriced).alias("n_unpriced"),
-            F.max(F.when(unpriced, F.col("item_no"))).alias("item_no"),
-            F.max(F.when(unpriced, quantity)).alias("quantity"),
-        )
-        .filter("bill is not null and n_unpriced > 0")
+    return hits.groupBy("order_id").agg(
+        (-F.count(F.lit(1))).alias("n_open"),
+        F.bit_xor("item_no").alias("item_no"),
+        (-F.sum(quantity)).alias("quantity"),
+        F.sum(F.when(is_cents(price), to_cents(price) * quantity)).alias("known_cents"),
+        F.sum(F.when(~is_cents(price), price * quantity)).alias("known_rest"),
     )
 
 
-def _with_price(lines: DataFrame, found: DataFrame) -> DataFrame:
-    prices = found.select("item_no", F.col("mode_value").alias("price"))
-    return lines.join(prices, "item_no", "left")
+def _balance(rows: DataFrame) -> DataFrame:
+    """Orders from their bills and all that was taken from them. With one line open, ``item_no`` is its item."""
+    return rows.groupBy("order_id").agg(F.max("bill").alias("bill"), F.min("order_seq").alias("order_seq"), *_added())
+
+
+def _added() -> list[Column]:
+    sums = [F.sum(name).alias(name) for name in ("n_open", "quantity", "known_cents", "known_rest")]
+    return [*sums, F.bit_xor("item_no").alias("item_no")]
 
 
 def _of_orders(lines: DataFrame, open_orders: DataFrame) -> DataFrame:
@@ -133,32 +130,36 @@ def _of_orders(lines: DataFrame, open_orders: DataFrame) -> DataFrame:
 def _derived(bills: _Bills, known: DataFrame) -> DataFrame | None:
     """Solve bills with one unpriced line, round by round, until none is left.
 
-    All items solved in a round become known together. Lines leave the state
-    once priced or when their order is not open, so a round costs what is still
-    open; the prices of a round are joined to the lines once and stored with
-    them, which broadcasts only if they are measured to be small.
+    All items solved in a round become known together. Lines and bills are
+    stored once. A round joins the lines of the items found in the last one
+    only, and sums what these take from their orders; these orders' balances are
+    added up from the bills and all rounds so far. An order has one line open for
+    the first time in the round that took the last but one, so orders that a
+    round does not touch need no second look.
     """
     solved: list[DataFrame] = []
-    found = known
-    open_orders = bills.totals.select("order_id", "bill", "order_seq")
-    lines = _of_orders(bills.lines, open_orders)
+    bill_rows = bills.totals.withColumnRenamed("n_lines", "n_open")
+    lines = stage(_of_orders(bills.lines, bill_rows), "price-lines")
+    taken: list[DataFrame] = []
+    found, first = known, True
     while True:
-        priced = stage(_with_price(lines, found), "price-lines")
-        state = stage(_round(priced, open_orders), "price-state")
+        now = stage(_priced(lines, found), "price-round-lines")
+        if not first and now.isEmpty():
+            break
+        if len(taken) == _ROUNDS_KEPT:
+            taken = [stage(reduce(DataFrame.unionByName, taken).groupBy("order_id").agg(*_added()), "price-rounds")]
+        taken.append(now)
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), taken, bill_rows)
+        # In the first round orders of one line may be solved that no price has touched.
+        state = _balance(rows if first else _of_orders(rows, now))
+        first = False
         known_part = F.coalesce(from_cents(F.col("known_cents"), F.col("known_rest")), F.lit(0.0))
         value = (F.col("bill") - known_part) / F.col("quantity")
-        candidates = state.filter("n_unpriced = 1 and quantity <> 0")
+        candidates = state.filter("n_open = 1 and quantity <> 0")
         found = stage(mode_two_decimals(candidates, ["item_no"], value, F.col("order_seq")), "price-round")
         if found.isEmpty():
             break
         solved.append(found)
-        # An order with one unpriced line is solved now, or never (quantity 0).
-        open_orders = state.filter("n_unpriced > 1").select(
-            "order_id", "bill", "order_seq", "known_cents", "known_rest"
-        )
-        if open_orders.isEmpty():
-            break
-        lines = _of_orders(priced.filter("price is null").select("order_id", "item_no", "quantity"), open_orders)
     return reduce(DataFrame.unionByName, solved) if solved else None
 
 

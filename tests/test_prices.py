@@ -47,6 +47,7 @@ def test_prices_known_from_construction(spark, seed):
 
 
 def test_lines_without_a_bill_leave_the_state(spark, monkeypatch):
+    """Lines of billed orders are stored once; a round takes those of the items just found."""
     kept = []
     plain = prices.stage
     monkeypatch.setattr(prices, "stage", lambda df, label: kept.append((label, plain(df, label))) or kept[-1][1])
@@ -54,7 +55,10 @@ def test_lines_without_a_bill_leave_the_state(spark, monkeypatch):
     lines += [(f"no bill {i}", f"e{i % 7}", 1) for i in range(100)]
     run(spark, lines, {"a": 3.0, "b": 7.0, "c": 9.0})
     assert [df.count() for label, df in kept if label == "price-lines"][0] == 5
-    assert [df.count() for label, df in kept if label == "price-lines"][1:] == [2]
+    assert [df.count() for label, df in kept if label == "price-lines"][1:] == []
+    # d1 is seen on a bill and taken from two orders, then d2 from one; nothing is taken from c
+    taken = [sorted(r.order_id for r in df.collect()) for label, df in kept if label == "price-round-lines"]
+    assert taken == [["a", "b"], ["b"]]
 
 
 def test_first_seen_value_wins_ties(spark):
