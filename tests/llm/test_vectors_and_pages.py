@@ -71,6 +71,22 @@ PAGES = {
     f"<body><div class='top-menu'><a href=x>one</a></div><p>{TEXT}</p><p>{TEXT}</p><p class='cookie-notice'>{TEXT}</p><p><a href='x'>{TEXT}</a></p>": f"{TEXT}\n\n{TEXT}",
     "<article><p>1 < 2 && 3 > 2 &lt;b&gt; &#233; &notanentity &am": "1 < 2 && 3 > 2 <b> é ¬anentity &am",
     f"<article><p>{TEXT}</p><a hre": TEXT,
+    f"<article><p>{TEXT}</p><p>one <noscript>two</noscript> <math><mi>three</mi></math> <object>four</object></p>": f"{TEXT}\n\none two three four",
+    f"<article><p>{TEXT}</p><button>Share<p>{TEXT}</p><svg><template><select><p>end</p>": f"{TEXT}\n\nShare\n\n{TEXT}\n\nend",
+    f"<article><p>{TEXT}</p><button><div>Share</div></button><p>{TEXT} <select><option>a</select></p></article>": f"{TEXT}\n\n{TEXT}",
+    f"<body><p>{TEXT}</p></body>": TEXT,
+    "<body><div class=content><p>Two short</p><p>paragraphs here</p></div></body>": "Two short\n\nparagraphs here",
+    f"<body><div><a href=x>unclosed</div><p>{TEXT}</p><p>{TEXT}</p></body>": f"{TEXT}\n\n{TEXT}",
+    f"<body><a name=top><p>{TEXT}</p><p>{TEXT} again</p></body>": f"{TEXT}\n\n{TEXT} again",
+    f"<body><div class='tabs-content'><article><p>A</p><p>{TEXT}</p></article></div><div class=login>{TEXT}": f"A\n\n{TEXT}",
+    f"<body><div class='form-page'><p>{TEXT}</p></div>": TEXT,
+    f"<body><div id='share-page'><p>{TEXT}</p></div>": TEXT,
+    f"<body><form><article><p>A</p><div class=alert>{TEXT}</div><div class=menu>{TEXT}</div></article></form>": f"A\n\n{TEXT}\n\n{TEXT}",
+    f"<article><div>By A</div><div>{TEXT}</div><div>short end</div></article>": f"By A\n\n{TEXT}\n\nshort end",
+    f"<form id=aspnet><div class=content><p>A</p><form>{TEXT}</form>": "A",
+    "<article><header><h1>The title</h1></header><p>Text</p></article><header>Top</header>": "The title\n\nText",
+    f"<div class='login-form'>{TEXT}</div><div class='comment-content'>{TEXT}</div><p>{TEXT}</p>": TEXT,
+    f"<head><title>T</title><noscript></noscript><body><p>{TEXT}": TEXT,
     "": "",
     "<article></article>": "",
     "plain text of three words": "",
@@ -106,8 +122,32 @@ def test_tree_holds_on_unseen_pages():
     assert right / total > 0.99
 
 
+def test_long_pages_are_kept_whole():
+    text = "\n\n".join(f"{TEXT} {i}" for i in range(20_000))
+    page = "<article>" + "".join(f"<p>{p} <a href=x></a></p>" for p in text.split("\n\n"))
+    assert html_text.main_text(page, html_text.train()) == text
+
+
+def test_tree_reads_words_and_links():
+    """The tree decides by lengths and links where nothing names a part, and is the same in every run."""
+    tree = html_text.train()
+    assert tree == html_text.train()
+    used = set()
+
+    def walk(t):
+        if len(t) > 1:
+            used.add(html_text.FEATURES[t[0]])
+            walk(t[2])
+            walk(t[3])
+
+    walk(tree)
+    assert {"words", "link_share", "mark", "in_main"} <= used and used & {"words_before", "words_after", "link_share_before", "link_share_after"}
+    rows = [(b, r) for page in html_text.labelled_pages() for found in [html_text.blocks(page)] for b, r in zip(found, html_text.features(found), strict=True)]
+    assert sum(html_text.decide(tree, r) == b[0].startswith("+") for b, r in rows) / len(rows) > 0.95
+
+
 def test_malformed_markup_takes_linear_time():
-    for page in ("<" * 200_000, "<a b='" * 40_000, "<!--" * 50_000, '<p x="' + "y" * 300_000, "&" * 200_000):
+    for page in ("<a href=x>" * 40_000, "<button>" * 40_000, "<svg>" * 40_000, "<template><select>" * 40_000, "<" * 200_000, "<a b='" * 40_000, "<!--" * 50_000, '<p x="' + "y" * 300_000, "&" * 200_000):
         html_text.blocks(page)
 
 
