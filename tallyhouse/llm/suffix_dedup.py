@@ -331,20 +331,24 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     runs[-1][1] = max(runs[-1][1], span[1])
                 else:
                     runs.append(list(span))
-            at, kept = 0, hashlib.sha256()
+            at, parts = 0, []
             for first, last in runs:
-                kept.update(raw[at:first])
+                parts.append(raw[at:first])
                 at = last
-            kept.update(raw[at:])
-            rows.append((len(raw), sum(b - a for a, b in runs), len(runs), kept.hexdigest(), [{"from": a, "to": b} for a, b in runs]))
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))]
+            kept = b"".join([*parts, raw[at:]])
+            spans = [{"from": a, "to": b} for a, b in runs]
+            rows.append((len(raw), sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept).hexdigest(), spans, kept.decode(errors="replace")))
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])), pa.string()]
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text"])
 
 
 def repeated_spans(docs: DataFrame, least: int = LEAST, shard: int = SHARD, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
-    """One row per document: its bytes, the removed byte ranges ``spans``, their sum and number, and the hash of what is kept."""
+    """One row per document: its bytes, the removed byte ranges ``spans``, their sum and number, the hash of what is kept, and that as text.
+
+    A character of which only some bytes are removed is shown as U+FFFD; ``spans`` and the hash are exact.
+    """
     texts = docs.select("doc_id", *_text_key(), "text")
     units = stage(texts.select("t1", "t2", "text").mapInArrow(_units(least), UNIT), "suffix-units")
     # written first: a join that meets a grouped side in the same stage could not split a frequent anchor
@@ -367,9 +371,9 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, shard: int = SHARD, widt
     return (
         texts.join(per, ["t1", "t2"], "left")
         .select("doc_id", "text", "spans")
-        .mapInArrow(_removed, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<from: long, to: long>>")
+        .mapInArrow(_removed, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<from: long, to: long>>, kept_text string")
     )
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_spans(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+    return repeated_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
