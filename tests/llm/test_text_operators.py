@@ -162,6 +162,8 @@ def test_suffix_dedup(spark, shard, widths):
     found = suffix_dedup.repeated_spans(frame, shard=shard, widths=widths)
     assert Counter(tuple(r)[:5] for r in found.collect()) == _removed_by_brute_force(rows, 400)
     assert all(sum(s["to"] - s["from"] for s in r.spans) == r.n_removed for r in found.collect())
+    whole = [r for r in found.collect() if "\ufffd" not in r.kept_text]
+    assert len(whole) > 10 and all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in whole)
 
 
 def test_suffix_dedup_of_nothing(none):
@@ -351,6 +353,86 @@ def test_phones_are_linked_over_formats(spark):
     assert [re.sub(r"\d", "0", new) for new in found] == [re.sub(r"\d", "0", text) for text in texts]
 
 
+def test_phone_forms(spark):
+    forms = ["+49 30 1234567", "(030) 1234567", "030 1234567", "+49 (0)30 1234567", "+49-30-1234567", "030/1234567"]
+    found = _masked(spark, [f"call {f}, now" for f in forms])
+    moved = {re.sub(r"\D", "", re.sub(r"\+49( \(0\))?|0(?=3?)", "", f, count=1)) for f in forms}
+    assert moved == {"301234567"}
+    kept = {re.sub(r"\D", "", re.sub(r"^call (\+49( \(0\))?|\(?0)", "", new)) for new in found}
+    assert len(kept) == 1 and kept != moved
+    toll = ["1-800-555-1234", "+1-800-5551234", "800-555-1234", "+18005551234"]
+    assert len({re.sub(r"\D", "", new)[-10:] for new in _masked(spark, toll)} - {"8005551234"}) == 1
+    mobile = ["0171 2345678", "+49 171 2345678"]
+    assert len({re.sub(r"\D", "", new)[-10:] for new in _masked(spark, mobile)} - {"1712345678"}) == 1
+    shapes = [re.sub(r"\d", "0", x) for x in forms + toll + mobile]
+    assert [re.sub(r"\d", "0", x) for x in _masked(spark, forms + toll + mobile)] == shapes
+    left = ["room 0900 1200", "from 1200 to 1345678", "+5 10 20", "0.1712345678", "x0171 2345678"]
+    assert _masked(spark, left) == left
+
+
+def test_mails_of_any_letters(spark):
+    texts = ["max@müller.de", "jürgen.klein@example.com and jürgen.klein@example.org", "иван@пример.рф", "山田@例え.jp"]
+    found = _masked(spark, texts)
+    assert re.fullmatch(r"[a-z]{3}@müller\.de", found[0]) and found[0] != texts[0]
+    one, two = re.findall(r"(\S+)@example", found[1])
+    assert one == two and len(one) == 12 and "jü" not in one and one[1].isalpha()
+    assert "иван" not in found[2] and found[2].endswith("@пример.рф") and "山" not in found[3]
+
+
+def test_dates_day_first_and_with_slashes(spark):
+    a, b, c, d = _masked(spark, ["31/12/1999", "1999/12/31", "1999-12-31", "12/31/1999"])
+    assert c != "1999-12-31" and b == c.replace("-", "/")
+    year, month, day = c.split("-")
+    assert a == f"{day}/{month}/{year}" and d == f"{month}/{day}/{year}"
+    left = ["32/13/1999", "1999/13/01", "/1999/12/31/"]
+    assert _masked(spark, left) == left
+
+
+def test_named_secrets_and_web_tokens(spark):
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVP-mB92K27uhbUJU1p1r_wW1g"
+    texts = ["secret=Hunter2x", "api_key=Hunter2x", "API-KEY: Hunter2x", "client_secret = 'Hunter2x'", f"bearer {token}.", f"again {token}"]
+    found = _masked(spark, texts)
+    assert all("Hunter2x" not in new for new in found) and all("IUzI1Ni" not in new and "dBjft" not in new for new in found)
+    assert found[4][7:-1] == found[5][6:] and found[5][6:].count(".") == 2
+    left = ["the secret: nobody knows", "eyJ is no token", "an API key"]
+    assert _masked(spark, left) == left
+
+
+def test_bank_numbers_pass_their_check(spark):
+    valid = lambda n: int("".join(str(int(c, 36)) for c in n[4:] + n[:4])) % 97 == 1
+    numbers = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819"]
+    texts = [*numbers, "to DE89 3704 0044 0532 0130 00 by 12", "DE89 3704 0044 0532 0130 00 12"]
+    found = _masked(spark, texts)
+    bare = [re.sub(" ", "", f) for f in found]
+    assert all(valid(b) and b != n.replace(" ", "") for b, n in zip(bare, numbers, strict=False))
+    assert bare[0] == bare[1] and bare[2] == bare[3] and found[4] == f"to {found[0]} by 12" and found[5] == f"{found[0]} 12"
+    left = ["DE88 3704 0044 0532 0130 00", "AB12CDEF34567890123"]
+    assert _masked(spark, left) == left
+
+
+def test_long_addresses(spark):
+    import ipaddress
+
+    texts = ["2001:db8::1", "2001:0DB8:0:0:0:0:0:1", "2001:0db8:0000:0000:0000:0000:0000:0001", "fe80::1"]
+    found = _masked(spark, [f"from {x}." for x in texts])
+    plain = [ipaddress.ip_address(f[5:-1]) for f in found]
+    assert plain[0] == plain[1] == plain[2] != ipaddress.ip_address(texts[0]) and plain[3] not in (plain[0], ipaddress.ip_address("fe80::1"))
+    left = ["face::add", "12:34:56", "std::abs", "1:2:3:4:5:6:7:8:9", "00:1b:44:11:3a:b7"]
+    assert _masked(spark, left) == left
+
+
+def test_cards_behind_words(spark):
+    found = _masked(spark, ["card4111111111111111", "4111111111111111", "id4111111111111111", "4111 0111 1111 1111 x"])
+    assert found[0] == f"card{found[1]}" and found[1] != "4111111111111111" and found[2] == "id4111111111111111"
+
+
+def test_pseudonyms_keep_columns_of_any_name(spark):
+    rows = [("x@y.example.com", "a", 1, "b")]
+    out = pii.pseudonymize(spark.createDataFrame(rows, "text string, _pii_hits string, _pii_moved int, `a.b` string"))
+    assert out.columns == ["text", "_pii_hits", "_pii_moved", "a.b", "n_replaced"]
+    assert tuple(out.first())[1:] == ("a", 1, "b", 1)
+
+
 def test_permutations_hit_every_value_once(spark):
     days = spark.range(pii.DAYS[0] * pii.DAYS[1])
     moved = days.select(pii.permute_number(F.col("id"), pii.DAYS, "k", "d").alias("p"))
