@@ -73,6 +73,45 @@ def test_license_scan(docs, none):
     assert license_scan.scan(none).count() == 0
 
 
+def test_license_spans(spark):
+    """Whole notices with edits count; their words scattered, listed by pairs or out of order do not."""
+    notices = {t: label for t, label in license_scan.MORE.items() if len(t.split()) > 20}
+    rows, wanted = [], {}
+
+    def add(text, label):
+        rows.append((len(rows), text))
+        wanted[len(rows) - 1] = label
+
+    for notice, label in notices.items():
+        words = notice.split()
+        n, drop = len(words), set(range(9, len(words), 20))
+        add("/* " + "\n * ".join(words) + " */", label)
+        add(" ".join(w for i, w in enumerate(words) if i not in drop), label)
+        add(" ".join(w + " Example Holder" if i == n // 2 else w for i, w in enumerate(words)), label)
+        add(" ".join(w for i in range(0, n, 6)[::-1] for w in words[i : i + 6]), None)
+        add(" ".join(f"{a} {b} filler" for a, b in zip(words, words[1:], strict=False)), None)
+        add(" ".join(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)), None)
+        add(" ".join(f"{a} {b} {c} filler filler" for a, b, c in zip(words[::3], words[1::3], words[2::3], strict=False)), None)
+    sentence = "permission is hereby granted free of charge to any person obtaining a copy of this software".split()
+    add(" ".join(f"{a} {b} filler" for a, b in zip(sentence, sentence[1:], strict=False)), None)
+    add(" ".join(f"{a} {b}" for a, b in zip(sentence, sentence[1:], strict=False)), None)
+    add(" ".join(sentence), "mit")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = license_scan.scan(docs)
+    _same_as_sql(found, license_scan.ORACLE, docs)
+    by = {r.doc_id: r for r in found.collect()}
+    phrases = {label for t, label in {**license_scan.BASE, **license_scan.MORE}.items() if len(t.split()) <= 7}
+    for number, label in wanted.items():
+        labels = set(by[number].labels.split(",")) - {""}
+        if label:
+            assert label in labels and by[number].score >= 0.8, (number, rows[number][1])
+        else:
+            assert not labels - phrases, (number, labels, rows[number][1])
+    assert by[len(rows) - 1].score == 1
+    spans = license_scan.spans(license_scan.diagonals(docs.filter(f"doc_id = {len(rows) - 1}"))).filter("share = 1").collect()
+    assert [(r.label, r.first_word, r.last_word) for r in spans] == [("mit", 0, 15)]
+
+
 def test_quality_rules(docs, none):
     rows = quality.ledger(docs)
     out = rows.select("doc_id", *quality.MEASURES, quality.rejects(quality.BASE).alias("base_failed"), (~quality.rejects(quality.STANDARD)).alias("kept"), "fail_bits")
