@@ -91,31 +91,48 @@ def _computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """``docs`` with the measurements of every rule; columns of these names are replaced."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns ``c0``, ``c1`` and so on, which clash with none made here."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def _own(docs: DataFrame, but: list[str] | None = None) -> list[Column]:
+    """The numbered columns under their own names, without those of ``but``."""
+    return [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in (but or [])]
+
+
+def _measure(docs: DataFrame) -> DataFrame:
+    """The numbered columns of ``docs``, and the measurements."""
+    text = F.coalesce(F.col(f"c{docs.columns.index('text')}"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    parts = _computed_once(docs, "_parts", F.struct(words.alias("words"), lines.alias("lines")))
-    words, lines = F.col("_parts.words"), F.col("_parts.lines")
-    hashed = _computed_once(parts, "_hashes", F.transform(words, lambda w: F.xxhash64(w)))
-    windows = _computed_once(hashed, "_windows", _window_hashes(F.col("_hashes")))
-    placed = _computed_once(windows, "_placed", _placed(F.col("_windows")))
-    places = _computed_once(placed, "_places", _repeat_places(F.col("_placed")))
+    parts = _computed_once(_numbered(docs), "parts", F.struct(words.alias("words"), lines.alias("lines")))
+    words, lines = F.col("parts.words"), F.col("parts.lines")
+    hashed = _computed_once(parts, "hashes", F.transform(words, lambda w: F.xxhash64(w)))
+    windows = _computed_once(hashed, "windows", _window_hashes(F.col("hashes")))
+    placed = _computed_once(windows, "placed", _placed(F.col("windows")))
+    places = _computed_once(placed, "places", _repeat_places(F.col("placed")))
     found = {
         "n_words": F.size(words),
         "word_chars": F.length(F.translate(text, SPACE, "")),
         "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")),
         "n_lines": F.size(lines),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-        "n_repeat_words": _covered(F.col("_places")),
+        "n_repeat_words": _covered(F.col("places")),
     }
-    measured = _computed_once(places, "_measured", F.struct(*[c.cast("long").alias(n) for n, c in found.items()]))
-    return measured.withColumns({n: F.col(f"_measured.{n}") for n in found}).drop("_parts", "_hashes", "_windows", "_placed", "_places", "_measured")
+    measured = _computed_once(places, "measured", F.struct(*[c.cast("long").alias(n) for n, c in found.items()]))
+    return measured.withColumns({n: F.col(f"measured.{n}") for n in found}).drop("parts", "hashes", "windows", "placed", "places", "measured")
 
 
-def ledger(docs: DataFrame) -> DataFrame:
-    """``docs`` with measurements and ``fail_bits``, one bit per rule of ``RULES``."""
+def measure(docs: DataFrame) -> DataFrame:
+    """``docs`` with the measurements of every rule; columns of these names are replaced."""
+    rows = _measure(docs)
+    names = rows.columns[len(docs.columns) :]
+    return rows.select(*_own(docs, names), *names)
+
+
+def _ledger(docs: DataFrame) -> DataFrame:
+    """The numbered columns of ``docs``, measurements and ``fail_bits``."""
     n_words = F.col("n_words")
     failed = {
         "few_words": n_words < 50,
@@ -128,7 +145,14 @@ def ledger(docs: DataFrame) -> DataFrame:
     total = bits[0]
     for bit in bits[1:]:
         total = total.bitwiseOR(bit)
-    return measure(docs).withColumn("fail_bits", total.cast("long"))
+    return _measure(docs).withColumn("fail_bits", total.cast("long"))
+
+
+def ledger(docs: DataFrame) -> DataFrame:
+    """``docs`` with measurements and ``fail_bits``, one bit per rule of ``RULES``; columns of these names are replaced."""
+    rows = _ledger(docs)
+    names = rows.columns[len(docs.columns) :]
+    return rows.select(*_own(docs, names), *names)
 
 
 def rejects(policy: Policy) -> Column:
@@ -137,7 +161,7 @@ def rejects(policy: Policy) -> Column:
 
 def keep(docs: DataFrame, policy: Policy = STANDARD) -> DataFrame:
     """The documents that no rule of the policy rejects, with their own columns only."""
-    return ledger(docs).filter(~rejects(policy)).select(*docs.columns)
+    return _ledger(docs).filter(~rejects(policy)).select(*_own(docs))
 
 
 def ablation(rows: DataFrame, policy: Policy = STANDARD) -> DataFrame:
