@@ -104,8 +104,8 @@ def _measured(width: int):
     return run
 
 
-def _text_hash() -> Column:
-    return F.xxhash64(F.coalesce("text", F.lit("")))
+def _text_hash(text: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,14 +247,17 @@ def components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, sl
     per = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n_members"), F.min("root").alias("one"), F.max("root").alias("two"))
     still = rest.drop("n", "leader").join(per.filter(F.col("one") != F.col("two")).select("key", "n_members"), "key")
     tasks = _tasks(still, full, slice_rows)
-    n_groups = max(1, still.count() // TASK_ROWS)
+    copies = still.agg(F.sum(F.ceil(F.col("n_members") / slice_rows))).first()[0]  # a member is in as many tasks as its key has slices
+    n_groups = max(1, (copies or 0) // TASK_ROWS)
     # keys of many members have a group per square of slices, small ones share groups
     group = F.pmod(F.xxhash64("key", "low", "high"), F.lit(n_groups))
     more = tasks.groupBy(group.alias("group")).applyInPandas(_compared(percent), "a long, b long")
     links = stage(links.unionByName(more), "minhash-links")
 
     known = sets.join(roots(links, "minhash-components"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = known.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    known = stage(known.select("root", "low", "high", "n_shingles", "least_id"), "minhash-known")
+    # written, so that Spark can split a large root in the join
+    least = stage(known.groupBy("root").agg(F.min("least_id").alias("component_id")), "minhash-least")
     return measured, known.join(least, "root").select("low", "high", "n_shingles", "component_id")
 
 
@@ -271,11 +274,13 @@ def keep(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Of rows that repeat the kept id and text one stays.
     """
     found = near_duplicates(docs, width, percent)
-    kept = found.filter(F.col("kept") | F.col("doc_id").isNull()).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_hash"))
-    rows = docs.join(kept, same, "left_semi")
-    mark = rows.withColumn("_minhash_hash", _text_hash())
-    return mark.dropDuplicates(["doc_id", "_minhash_hash"]).select(*docs.columns)
+    kept = found.filter(F.col("kept") | F.col("doc_id").isNull()).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
+    # numbered columns clash with none made here
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*at.values()).withColumn("hash", _text_hash(at["text"]))
+    same = F.col(at["doc_id"]).eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash"))
+    once = rows.join(kept, same, "left_semi").dropDuplicates([at["doc_id"], "hash"])
+    return once.select(*[F.col(n).alias(c) for c, n in at.items()])
 
 
 def op10_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
