@@ -126,6 +126,24 @@ def test_quality_rules(docs, none):
     assert quality.ledger(none).count() == 0
 
 
+def test_stages_keep_columns_of_any_name(docs):
+    """Columns that stages make for themselves, and odd names, come out with their own values."""
+    names = ["_parts", "_hashes", "parts", "hashes", "measured", "fail_bits", "kept", "c0", "c1", "_id", "_hash", "hash", "kept_id", "kept_hash", "a.b", "x`y"]
+    wide = docs.withColumns({n: F.concat(F.lit(f"{n} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for n in names if "`" not in n and "." not in n})
+    wide = wide.select("*", F.lit("dot").alias("a.b"), F.lit("tick").alias("x`y"))
+    count = lambda frame: Counter(tuple(r) for r in frame.collect())
+    rows = count(wide)
+    for keep in [quality.keep, minhash.keep]:
+        kept = keep(wide)
+        assert kept.columns == wide.columns
+        assert kept.count() and not count(kept) - rows
+        assert keep(wide.limit(0)).count() == 0
+    measured = quality.ledger(wide)
+    assert sorted(measured.columns) == sorted({*wide.columns, *quality.MEASURES, "n_lines"})
+    assert [r.n_words for r in measured.filter("doc_id = 6").collect()] == [2]
+    assert [r["_parts"] for r in measured.filter("doc_id = 6").collect()] == ["_parts of 6"]
+
+
 def test_mixing(docs, none, monkeypatch):
     monkeypatch.setattr(mixing, "SLICE", 5)  # many slices and ranges
     found = mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken").cache()
