@@ -12,7 +12,7 @@ cover, with a mark for every other word between the first and the last, are
 compared with the notice by edit distance in words. Words out of order, scattered
 over a longer text or said twice all count as edits.
 
-The templates are a fixed table of some fifteen hundred grams, so their join is a
+The templates are a fixed table of some seven hundred grams, so their join is a
 broadcast whose size does not depend on the data.
 
 Cases: a null or empty text has no words, no hits and score 0; repeated rows
