@@ -231,3 +231,23 @@ def test_a_snapshot_is_of_one_build(spark, tmp_path):
         warehouse.drop("silver.a", "gone")
         assert spark.catalog.tableExists("silver.a")
     assert not spark.catalog.tableExists("silver.a") and "silver.a" not in warehouse.snapshot().tables
+
+
+def test_tables_of_another_root_are_not_taken(spark, tmp_path, inputs):
+    """A direct channel that another warehouse left in the catalog is none of this one's."""
+    other = Warehouse(spark, str(tmp_path / "other"))
+    other.create_layers()
+    spark.sql("DROP TABLE IF EXISTS silver.direct_orders")
+    other.publish("silver.direct_orders", spark.range(3).selectExpr("id AS order_id"))
+    mine = Warehouse(spark, str(tmp_path / "mine"))
+    assert other.exists("silver.direct_orders") and not mine.exists("silver.direct_orders")
+    refresh.refresh(spark, mine.root, inputs)
+    assert spark.table("gold.combined_weekly_sales").filter("source = 'direct'").isEmpty()
+    spark.sql("DROP TABLE silver.direct_orders")
+
+
+def test_raw_rows_and_lines_are_written_without_a_shuffle(spark, tmp_path, inputs, monkeypatch):
+    dealt, hint = [], type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda self, name, *more: dealt.append(str(more[0])) or hint(self, name, *more))
+    refresh.refresh(spark, str(tmp_path / "root"), inputs)
+    assert dealt and not any("_file_id" in column for column in dealt)

@@ -9,7 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyhouse.plans import loyalty, orders
-from tallyhouse.sources import exports, mirror, reference_csv, snapshots
+from tallyhouse.sources import csv_records, exports, mirror, reference_csv, snapshots
+from tallyhouse.staging import stage
 
 
 def write(folder, name, text):
@@ -91,6 +92,26 @@ def test_one_answer_for_every_split_size(spark, tmp_path, split_size, line_end):
         assert [tuple(r) for r in got.orderBy("_row_seq").select("id", "size").collect()] == want
 
 
+def test_lines_of_whole_records_are_not_shuffled(spark, tmp_path, split_size):
+    """Only what goes over the edge of a split is, and nothing if no record does."""
+    write(tmp_path, "a.csv", "A,B\n" + "".join(f'{i},"x\ny{i}"\n' for i in range(200)))
+    plan = lambda rows: rows._jdf.queryExecution().executedPlan().toString()
+
+    def read(size):
+        split_size(size)
+        lines = csv_records.read_lines(spark, str(tmp_path))
+        splits = stage(csv_records.read_splits(lines), "splits")
+        return splits, csv_records.read_records(lines, splits)
+
+    splits, records = read(1 << 20)
+    assert splits.count() == 1 and records.count() == 200
+    assert "Window" not in plan(records) and "hashpartitioning" not in plan(records)
+    splits, records = read(64)
+    assert splits.filter("entered = 1").count() > 5
+    assert "Window" not in plan(records) and "edge" in plan(records)
+    assert sorted((r.line, r.value) for r in records.collect()) == [(2 + 2 * i, f'{i},"x\ny{i}"') for i in range(200)]
+
+
 def test_same_rows_as_duckdb(spark, tmp_path, rows):
     write(tmp_path, "a.csv", 'A,B\n1,7in 5" pizza\n2,"x\ny"\n')
     write(tmp_path, "b.csv", 'B,C`d\n"say ""hi"", you",q\n,r\n')
