@@ -66,6 +66,7 @@ class TokenIds:
         self.in_runs = made.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[int, bytes] = {}
+        self.token_bytes: np.ndarray | None = None
 
     @staticmethod
     def of(path: str) -> TokenIds:
@@ -76,26 +77,48 @@ class TokenIds:
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _encoded_runs(self, runs: list[str], plain: np.ndarray) -> list[bytes]:
+    def _token_bytes(self) -> np.ndarray:
+        """The bytes of each token: a byte-level token has a letter for each, an added one is written as it is."""
+        if self.token_bytes is None:
+            added = self.tokenizer.get_added_tokens_decoder()
+            self.token_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+            for token, i in self.tokenizer.get_vocab().items():
+                if i < len(self.token_bytes):
+                    self.token_bytes[i] = len(token.encode()) if i in added else len(token)
+        return self.token_bytes
+
+    def _cuts(self, encoded, ids: np.ndarray, sizes: np.ndarray, raw: list[bytes]) -> list[int]:
+        """Where the ids of each run begin in those of all, and where the last end."""
+        token_at = np.concatenate([[0], np.cumsum(self._token_bytes()[ids])])
+        run_at = np.concatenate([[0], np.cumsum(sizes)])
+        cuts = np.searchsorted(token_at, run_at)
+        if token_at[-1] == run_at[-1] and (token_at[cuts] == run_at).all():
+            return cuts.tolist()
+        # tokens that are not all of the text's bytes: a token begins in its run, also where its white space is not counted
+        token_at = np.fromiter((o[0] for o in encoded.offsets), np.int64, len(ids))
+        run_at = np.cumsum([0, *(len(r.decode()) for r in raw[:-1])])
+        return np.append(np.searchsorted(token_at, run_at), len(ids)).tolist()
+
+    def _encoded_runs(self, runs: list[bytes], sizes: np.ndarray, plain: np.ndarray) -> list[bytes]:
         """The ids of runs. Plain ones, from white space to a letter or mark, are written behind each other and encoded together."""
         found: list[bytes] = [b""] * len(runs)
         alone = np.flatnonzero(~plain).tolist()
         for lo in range(0, len(alone), TOGETHER):
             some = alone[lo : lo + TOGETHER]
-            for i, ids in zip(some, self._encoded([runs[i] for i in some]), strict=True):
+            for i, ids in zip(some, self._encoded([runs[i].decode() for i in some]), strict=True):
                 found[i] = ids
-        joined = np.flatnonzero(plain).tolist()
+        joined = np.flatnonzero(plain)
+        wide = self.kind.itemsize
         for lo in range(0, len(joined), TOGETHER):
             some = joined[lo : lo + TOGETHER]
-            text = "".join([runs[i] for i in some])
+            raw = [runs[i] for i in some.tolist()]
+            text = b"".join(raw).decode()
             encoded = self.tokenizer.encode(text, add_special_tokens=False)
             ids = np.array(encoded.ids, self.kind)
-            # a token begins in its run, also where its white space is not counted
-            token_at = np.fromiter((o[0] for o in encoded.offsets), np.int64, len(ids))
-            run_at = np.cumsum([0, *(len(runs[i]) for i in some[:-1])])
-            cuts = np.append(np.searchsorted(token_at, run_at), len(ids)).tolist()
-            for i, a, b in zip(some, cuts, cuts[1:], strict=False):
-                found[i] = ids[a:b].tobytes()
+            cuts = self._cuts(encoded, ids, sizes[some], raw)
+            written = ids.tobytes()
+            for i, a, b in zip(some.tolist(), cuts, cuts[1:], strict=False):
+                found[i] = written[a * wide : b * wide]
         return found
 
     def slice_ids(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,10 +147,10 @@ class TokenIds:
         missing = [i for i, ids in enumerate(found) if ids is None]
         raw = data.tobytes()
         begin, end = starts[first].tolist(), ends[first].tolist()
-        texts = [raw[begin[i] : end[i]].decode() for i in missing]
+        new = [raw[begin[i] : end[i]] for i in missing]
         last = ends[first[missing]]
         closed = (data[last - 1] > 32) & (data[last - 1] < 127) | _letter_before(data, last)
-        for i, ids in zip(missing, self._encoded_runs(texts, space[starts[first[missing]]] & closed), strict=True):
+        for i, ids in zip(missing, self._encoded_runs(new, last - starts[first[missing]], space[starts[first[missing]]] & closed), strict=True):
             found[i] = self.known[keys[i]] = ids
         sizes = np.array([len(ids) // self.kind.itemsize for ids in found], np.int64)
         flat = np.frombuffer(b"".join(found), self.kind)

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import license_scan, minhash, mixing, packing, pii, quality, suffix_dedup, token_counts
-from tallyhouse.llm.token_ids import default_path
+from tallyhouse.llm.token_ids import TokenIds, default_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node string, key int, n_words string, spans string, words int, size string, _row int"
 
@@ -223,6 +223,53 @@ def test_suffix_dedup(spark, shard, widths):
     assert len(whole) > 10 and all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in whole)
 
 
+def test_suffix_order_sorts_only_what_is_not_told_apart(monkeypatch):
+    """Rounds after the first sort none of the suffixes that the first told apart."""
+    rng, sorted_ = np.random.default_rng(5), []
+    argsort = np.argsort
+    monkeypatch.setattr(suffix_dedup.np, "argsort", lambda x, **kind: sorted_.append(len(x)) or argsort(x, **kind))
+    text = rng.integers(0, 50, 20_000)
+    text[9000:9400] = text[100:500]
+    for most in (1, 40, 400):
+        sorted_.clear()
+        found = suffix_dedup.suffix_order(text, most)
+        cut = [tuple(text[i : i + most].tolist()) for i in found.tolist()]
+        assert sorted(found.tolist()) == list(range(20_000)) and cut == sorted(cut)
+        assert all(n < 2000 for n in sorted_[1:])
+
+
+def test_intervals_with_one_preceding_byte_skip_the_wavelet_matrix(monkeypatch):
+    rng = np.random.default_rng(6)
+    text = rng.integers(97, 123, 3000).astype(np.uint8).tobytes()
+    given, distinct = [], suffix_dedup.WaveletMatrix.distinct
+    monkeypatch.setattr(suffix_dedup.WaveletMatrix, "distinct", lambda self, low, high: given.append(len(low)) or distinct(self, low, high))
+    found = suffix_dedup.repeated_starts([text, b"x" + text[:2000] + b"y"], 50)
+    assert [x.tolist() for x in found] == [list(range(1951)), list(range(1, 1952))]
+    assert sum(given[10:]) < 100
+
+
+def test_long_runs_are_cut_by_the_bytes_of_their_tokens(monkeypatch):
+    """Offsets, a pair of Python numbers per token, are not asked for; ids equal those of whole texts."""
+    tokens = TokenIds(default_path())
+    texts = ["plain words, (marks) caf\u00e9 \u00fcber \u65e5\u672c <|endoftext|> it's 12,000  two\n\nlines\tend" * 3, "", "a", " x y. z"]
+    want = [e.ids for e in tokens.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    asked, cuts = [], TokenIds._cuts
+
+    class Encoded:
+        def __init__(self, made):
+            self.ids = made.ids
+            self.made = made
+
+        @property
+        def offsets(self):
+            asked.append(1)
+            return self.made.offsets
+
+    monkeypatch.setattr(TokenIds, "_cuts", lambda self, e, *more: cuts(self, Encoded(e), *more))
+    assert [x.tolist() for x in tokens.texts_ids(pa.array(texts))] == want
+    assert not asked
+
+
 def test_suffix_dedup_of_nothing(none):
     assert suffix_dedup.repeated_spans(none).count() == 0
 
