@@ -73,6 +73,21 @@ def test_license_scan(docs, none):
     assert license_scan.scan(none).count() == 0
 
 
+def test_license_grams_are_not_held_as_arrays(spark):
+    texts = [None, "", "mit", "cc by", "cc by cc by", "mit license", "a mit license", "mit license", "--"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(4, texts[4]), (None, "mit license")], "doc_id long, text string")
+    votes = license_scan.diagonals(docs)
+    assert "zip_with" not in votes._jdf.queryExecution().optimizedPlan().toString()
+    counts = votes.filter("template IS NULL").collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_rows) for r in counts) == [(-1, 1), *((i, 2 if i == 4 else 1) for i in range(9))]
+    found = sorted(license_scan.scan(docs).collect(), key=lambda r: -1 if r.doc_id is None else r.doc_id)
+    assert [(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.labels) for r in found] == [
+        (None, 2, 1, 0, 0, "mit"), (0, 0, 0, None, None, ""), (1, 0, 0, None, None, ""), (2, 1, 0, None, None, ""),
+        (3, 2, 1, 0, 0, "cc-by"), *[(4, 4, 2, 0, 2, "cc-by")] * 2, (5, 2, 1, 0, 0, "mit"), (6, 3, 1, 1, 1, "mit"),
+        (7, 2, 1, 0, 0, "mit"), (8, 0, 0, None, None, ""),
+    ]
+
+
 def test_license_spans(spark):
     """Whole notices with edits count; their words scattered, listed by pairs or out of order do not."""
     notices = {t: label for t, label in license_scan.MORE.items() if len(t.split()) > 20}
