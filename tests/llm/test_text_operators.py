@@ -73,6 +73,21 @@ def test_license_scan(docs, none):
     assert license_scan.scan(none).count() == 0
 
 
+def test_runs_stay_known_beyond_a_batch(monkeypatch):
+    tokens = TokenIds(default_path())
+    calls = []
+    encoded_runs = TokenIds._encoded_runs
+    monkeypatch.setattr(TokenIds, "_encoded_runs", lambda self, data, first, *rest: calls.append(len(first)) or encoded_runs(self, data, first, *rest))
+    texts = [" ".join(f"{n:x}" for n in range(lo, lo + 1000)) for lo in range(0, 450_000, 1000)]
+    once = [x.tolist() for x in tokens.texts_ids(pa.array(texts))]
+    made = sum(calls)
+    assert made > 400_000 and [x.tolist() for x in tokens.texts_ids(pa.array([None, "", *texts[::-50]]))] == [[], [], *once[::-50]]
+    assert sum(calls) == made
+    monkeypatch.setattr("tallyhouse.llm.token_ids.REMEMBERED", 100)  # forgotten before each batch
+    assert [x.tolist() for x in tokens.texts_ids(pa.array(texts[:3]))] == once[:3] and sum(calls) > made
+    assert [x.tolist() for x in TokenIds(default_path()).texts_ids(pa.array([None, ""]))] == [[], []]
+
+
 def test_license_grams_are_not_held_as_arrays(spark):
     texts = [None, "", "mit", "cc by", "cc by cc by", "mit license", "a mit license", "mit license", "--"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(4, texts[4]), (None, "mit license")], "doc_id long, text string")
