@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import random
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -251,3 +252,51 @@ def test_raw_rows_and_lines_are_written_without_a_shuffle(spark, tmp_path, input
     monkeypatch.setattr(type(spark.range(1)), "hint", lambda self, name, *more: dealt.append(str(more[0])) or hint(self, name, *more))
     refresh.refresh(spark, str(tmp_path / "root"), inputs)
     assert dealt and not any("_file_id" in column for column in dealt)
+
+
+def test_a_refresh_deals_whole_orders_twice(spark, tmp_path, inputs, monkeypatch):
+    """Table and files meet in one shuffle and are numbered in one more; what was there before is looked up by keys alone."""
+    root, kept, plain = str(tmp_path / "root"), {}, refresh.stage
+    build(spark, root, inputs)
+    monkeypatch.setattr(refresh, "stage", lambda df, label: kept.setdefault(label, plain(df, label)))
+    export(tmp_path / "exports", "order_history_20260615_20260621.csv", drawn(random.Random(4), 30, 50))
+    catch_up(spark, root, inputs)
+    assert kept["orders-before"].columns == ["order_id", "customer_id", "order_month", "_source_file"]
+    assert not {"orders-after", "orders-written", "new-lines"} & set(kept)
+    assert cells(spark.table("silver.orders")) == cells(states.with_month(orders.orders(exports.read_exports(spark, inputs.exports))))
+
+
+def test_a_row_that_a_newer_file_replaced_writes_no_month(spark, tmp_path, inputs):
+    """A late file of an older week names a known order in another month, where it does not count."""
+    root, folder = str(tmp_path / "root"), tmp_path / "exports"
+    export(folder, "order_history_20260615_20260621.csv", [order("900", "1 x Tea", 10, **{"Order Placed At": "08:05 PM, September 03 2026"})])
+    build(spark, root, inputs)
+    before = month_files(root)
+    export(folder, "order_history_20260101_20260107.csv", [order("900", "1 x Bun", 20, **{"Order Placed At": "08:05 PM, January 03 2026"})])
+    assert catch_up(spark, root, inputs) == [dt.date(2026, 9, 1)]
+    assert set(month_files(root)) == set(before)
+    assert cells(spark.table("silver.orders")) == cells(states.with_month(orders.orders(exports.read_exports(spark, inputs.exports))))
+    assert spark.table("silver.order_items").filter("order_id = '900'").count() == 2
+
+
+def test_shuffle_files_go_with_their_job(spark, tmp_path):
+    """They do not pile up until the driver collects garbage, and the session keeps its own setting."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before, was = shuffles(), spark.conf.get(name, None)
+    warehouse = Warehouse(spark, str(tmp_path / "root"))
+    warehouse.create_layers()
+    with warehouse.together():
+        warehouse.publish("silver.a", spark.range(1000).repartition(5, "id"))
+        warehouse.publish("silver.b", warehouse.table("silver.a").groupBy(F.col("id") % 7).count().withColumnRenamed("(id % 7)", "k"))
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(name, None) == was and spark.table("silver.b").count() == 7

@@ -112,6 +112,18 @@ def test_lines_of_whole_records_are_not_shuffled(spark, tmp_path, split_size):
     assert sorted((r.line, r.value) for r in records.collect()) == [(2 + 2 * i, f'{i},"x\ny{i}"') for i in range(200)]
 
 
+@pytest.mark.parametrize(("size", "scans"), [(50, 1), (200_000, 2)])
+def test_lines_are_not_read_again_for_records_over_an_edge(spark, tmp_path, split_size, size, scans):
+    """Their pieces come from the pass for the states, unless one is too long to be kept there."""
+    cell = "\n".join("y" * 9 for _ in range(size // 10))
+    write(tmp_path, "a.csv", "A,B\n" + "".join(f'{i},"{cell}{i}"\n' for i in range(12)))
+    split_size(size * 3 // 2)
+    got = exports.read_exports(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == scans
+    assert [(r.A, r.B) for r in got.orderBy("_row_seq").collect()] == [(str(i), f"{cell}{i}") for i in range(12)]
+
+
 def test_same_rows_as_duckdb(spark, tmp_path, rows):
     write(tmp_path, "a.csv", 'A,B\n1,7in 5" pizza\n2,"x\ny"\n')
     write(tmp_path, "b.csv", 'B,C`d\n"say ""hi"", you",q\n,r\n')
