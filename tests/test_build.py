@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+import fixtures
 from tallyhouse.__main__ import main
 from tallyhouse.plans.build import Inputs, build
 from tallyhouse.publish import Warehouse
@@ -248,3 +249,25 @@ def test_incremental_ingest(spark, tmp_path):
     every = incremental.read_bronze(spark, bronze)
     assert every.count() == 5 and set(every.columns) >= {"A", "B", "C", "_row_seq", "_batch"}
     assert every.select("_row_seq").distinct().count() == 5
+
+
+def test_both_channels_are_made_of_lines_stored_once(spark, tmp_path):
+    rows = {
+        "orders": "SELECT id AS o_orderkey, id % 3 AS o_custkey, if(id = 2, 'P', 'F') AS o_orderstatus, 10.5D * id AS o_totalprice, "
+        "TIMESTAMP '2026-08-03 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(1, 4)",
+        "customer": "SELECT id AS c_custkey FROM range(3)",
+        "part": "SELECT id AS p_partkey, concat('part ', id) AS p_name FROM range(5)",
+        "lineitem": "SELECT 1 + id % 2 AS l_orderkey, id % 5 AS l_partkey, id AS l_suppkey, id AS l_linenumber, 2D AS l_quantity, 1D AS l_extendedprice, "
+        "0D AS l_discount, 0D AS l_tax, 'N' AS l_returnflag, 'O' AS l_linestatus, TIMESTAMP '2026-08-03 00:00:00' AS l_shipdate FROM range(8)",
+    }
+    for name, sql in rows.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    views, where = ("fx_bronze", "fx_direct_json"), str(tmp_path)
+    taken = lambda: [sorted(map(tuple, fixtures.view(spark, where, v).collect()), key=repr) for v in views]
+    alone = taken()
+    with fixtures.stored_once(spark, where, "fx_order_lines"):
+        assert taken() == alone
+        for v in views:
+            assert "lineitem" not in fixtures.view(spark, where, v)._jdf.queryExecution().executedPlan().toString()
+    assert taken() == alone and [len(a) for a in alone] == [4, 3]
+    assert [json.loads(raw)["items"][0]["name"] for _, raw in alone[1] if json.loads(raw)["items"]] == ["part 0", "part 1"]
